@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import simhash
+from . import mixing, simhash, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": simhash.op3_simhash,
+    "op4_mixing": mixing.op4_mixing,
+    "op6_url_filter": urlfilter.op6_url_filter,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op4_mixing": mixing.ORACLE_SQL, "op6_url_filter": urlfilter.ORACLE_SQL}
