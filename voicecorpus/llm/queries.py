@@ -6,12 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, simhash, urlfilter
+from . import bottomk, chat, mixing, packing, simhash, topk, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": simhash.op3_simhash,
     "op4_mixing": mixing.op4_mixing,
+    "op5_packing": packing.op5_packing,
     "op6_url_filter": urlfilter.op6_url_filter,
+    "op8_fingerprints": bottomk.op8_fingerprints,
+    "op9_chat": chat.op9_chat,
+    "op10_topk": topk.op10_topk,
 }
 
-ORACLES: dict[str, str] = {"op4_mixing": mixing.ORACLE_SQL, "op6_url_filter": urlfilter.ORACLE_SQL}
+ORACLES: dict[str, str] = {
+    "op4_mixing": mixing.ORACLE_SQL,
+    "op6_url_filter": urlfilter.ORACLE_SQL,
+    "op10_topk": topk.ORACLE_SQL,
+}
