@@ -24,7 +24,6 @@ from .shared import fold_of
 
 VOCABULARY, SAMPLE, ROUNDS, FOLDS, LONGEST, UNKNOWN = "piece_bpe_32k.model", 600, 4, 5, 40, 1e-8
 MIN_SCORE = 0.4
-_LETTERS = re.compile(r"[^\W\d_]+")
 _LONG = re.compile(rf"[^\W\d_]{{1,{LONGEST}}}")
 _CACHE_WORDS = 250_000
 
@@ -34,95 +33,108 @@ def words_of(text: str | None) -> list[str]:
 
 
 class Pieces:
-    """The vocabulary's pieces of letters, and all their prefixes (-1 if no piece)."""
+    """A trie of the vocabulary's pieces over some letters, walked for many words at once.
 
-    def __init__(self, path: str | None = None):
+    ``step`` (state, letter) is the next state or -1, ``piece`` a state's piece or -1.  Words
+    are rows of letter numbers: 0 past the end and for letters outside ``letters``, 1 the
+    mark of a beginning."""
+
+    def __init__(self, letters: str, path: str | None = None):
         import public_tokenizers
         import sentencepiece
 
         sp = sentencepiece.SentencePieceProcessor(model_file=path or public_tokenizers.path(VOCABULARY))
-        self.id: dict[str, int] = {}
-        self.size = 0
+        number = {"▁": 1} | {c: i + 2 for i, c in enumerate(sorted(set(letters)))}
+        self.names: list[str] = []
+        root: dict = {}
         for i in range(sp.get_piece_size()):
             p = sp.id_to_piece(i)
-            body = p.removeprefix("▁")
-            if sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or (body and not _LETTERS.fullmatch(body)) or body != body.lower():
+            if sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or any(c not in number for c in p) or "▁" in p[1:]:
                 continue
-            self.id[p] = self.size
-            self.size += 1
-            for n in range(1, len(p)):
-                self.id.setdefault(p[:n], -1)
-
-    def edges(self, words: list[str]) -> tuple[np.ndarray, ...]:
-        """(word, from, to, piece) of every piece in ▁word; piece ``size`` is the unknown letter."""
-        out: list[tuple[int, int, int, int]] = []
-        get, size, add = self.id.get, self.size, out.append
-        for w, word in enumerate(words):
-            s = "▁" + word
-            n = len(s)
-            for i in range(n):
-                one = False
-                for j in range(i + 1, n + 1):
-                    p = get(s[i:j])
-                    if p is None:
-                        break
-                    if p >= 0:
-                        add((w, i, j, p))
-                        one |= j == i + 1
-                if not one:
-                    add((w, i, i + 1, size))
-        return tuple(np.array(out, np.int64).reshape(-1, 4).T)
-
-
-def _steps(edges: tuple, key: int) -> list[np.ndarray]:
-    order = np.argsort(edges[key], kind="stable")
-    at = np.searchsorted(edges[key][order], np.arange(edges[key].max(initial=0) + 2))
-    return [order[a:b] for a, b in zip(at, at[1:], strict=False)]
-
-
-def forward(n: int, edges: tuple, prob: np.ndarray) -> np.ndarray:
-    """alpha (word, place, language); ``prob`` (piece + 1, language)."""
-    w, i, j, p = edges
-    alpha = np.zeros((n, int(j.max(initial=0)) + 1, prob.shape[1]))
+            at = root
+            for c in p:
+                at = at.setdefault(number[c], {})
+            at[0] = len(self.names)
+            self.names.append(p)
+        self.size = len(self.names)
+        nodes, rows, piece = [root], [], []
+        for at in nodes:  # grows as it runs
+            row = np.full(len(number) + 1, -1, np.int32)
+            for c, child in at.items():
+                if c:
+                    row[c] = len(nodes)
+                    nodes.append(child)
+            rows.append(row)
+            piece.append(at.get(0, -1))
+        self.step, self.piece = np.stack(rows), np.array(piece, np.int32)
+        self.table = np.zeros(max([0, *map(ord, number)]) + 2, np.int32)
+        for c, i in number.items():
+            self.table[ord(c)] = i
+
+    def numbers(self, words: list[str]) -> np.ndarray:
+        """Rows of letter numbers of ▁word."""
+        n = max(map(len, words), default=0)
+        points = np.array(words, f"<U{max(1, n)}").view(np.uint32).reshape(len(words), -1)
+        mark = np.ones((len(words), 1), np.int32)
+        return np.concatenate((mark, self.table[np.minimum(points, len(self.table) - 1)]), 1)
+
+    def walk(self, rows: np.ndarray, at: int, end: np.ndarray) -> Iterator[tuple[np.ndarray, int, np.ndarray]]:
+        """(words, place after, pieces) of all pieces that begin at ``at``; piece ``size`` is a
+        letter that is none."""
+        live = np.flatnonzero(end > at)
+        state = np.zeros(len(live), np.int32)
+        for j in range(at, rows.shape[1]):
+            state = self.step[state, rows[live, j]]
+            piece = np.where(state >= 0, self.piece[state], -1)
+            if j == at:
+                none = piece < 0
+                if none.any():
+                    yield live[none], j + 1, np.full(int(none.sum()), self.size)
+            found = piece >= 0
+            if found.any():
+                yield live[found], j + 1, piece[found]
+            on = state >= 0
+            live, state = live[on], state[on]
+            if not len(live):
+                return
+
+
+def forward(pieces: Pieces, rows: np.ndarray, end: np.ndarray, prob: np.ndarray) -> np.ndarray:
+    """alpha (word, place, language): the sum over segmentations up to a place; ``prob``
+    (piece + 1, language)."""
+    alpha = np.zeros((len(rows), rows.shape[1] + 1, prob.shape[1]))
     alpha[:, 0] = 1
-    for e in _steps(edges, 2)[1:]:
-        np.add.at(alpha, (w[e], j[e]), alpha[w[e], i[e]] * prob[p[e]])
+    for i in range(rows.shape[1]):
+        for w, j, p in pieces.walk(rows, i, end):
+            alpha[w, j] += alpha[w, i] * prob[p]
     return alpha
 
 
 class Model:
-    def __init__(self, langs: list[str], logp: np.ndarray, path: str | None = None):
-        self.langs, self.prob, self.path = langs, np.exp(logp), path
-        self._ready = False
-
-    def __getstate__(self):
-        return {"langs": self.langs, "prob": self.prob, "path": self.path, "_ready": False}
-
-    def _begin(self) -> None:
-        if not self._ready:
-            self.pieces = Pieces(self.path)
-            self.known: dict[str, int] = {}
-            self.rows = np.zeros((1024, len(self.langs)))
-            self._ready = True
-
-    def word_rows(self, words: list[str]) -> np.ndarray:
-        """Places in ``self.rows`` of the words' log probabilities; the cache is bounded."""
-        self._begin()
-        new = list({w for w in words if w not in self.known})
+    """``prob`` (piece + 1, language); a worker keeps a bounded number of words' scores."""
+
+    def __init__(self, langs: list[str], prob: np.ndarray, pieces: Pieces):
+        self.langs, self.prob, self.pieces = langs, prob, pieces
+        self.known: dict[str, int] = {}
+        self.rows = np.zeros((1024, len(langs)))
+
+    def rows_of(self, words: list[str]) -> np.ndarray:
+        """Each word's log probability in each language."""
+        new = {w for w in words if w not in self.known}
         if len(self.known) + len(new) > _CACHE_WORDS:
             self.known = {}
-            new = list(set(words))
+            new = set(words)
+        new = sorted(new, key=len)
         for lo in range(0, len(new), 8192):
-            part = sorted(new[lo : lo + 8192], key=len)
-            e = self.pieces.edges(part)
-            alpha = forward(len(part), e, self.prob)
-            end = np.array([len(x) + 1 for x in part])
+            part = new[lo : lo + 8192]
+            end = np.fromiter(map(len, part), np.int64, len(part)) + 1
+            alpha = forward(self.pieces, self.pieces.numbers(part), end, self.prob)
             base = len(self.known)
             if base + len(part) > len(self.rows):
                 self.rows = np.concatenate((self.rows, np.zeros((max(len(part), len(self.rows)), len(self.langs)))))
             self.rows[base : base + len(part)] = np.log(np.maximum(alpha[np.arange(len(part)), end], 1e-300))
             self.known.update(zip(part, range(base, base + len(part)), strict=True))
-        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        return self.rows[np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))]
 
     def score(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         """A language for each text, and its share of the evidence of up to ten words."""
@@ -152,43 +164,37 @@ class Model:
                     out.append(float(share[k, b] / share[k].sum()))
         return lang, np.array(out)
 
-    def rows_of(self, words: list[str]) -> np.ndarray:
-        at = self.word_rows(words)
-        return self.rows[at]
-
 
 def learn(texts: list[str], langs: list[str], rounds: int = ROUNDS, path: str | None = None, smooth: float = 20.0) -> Model:
     """Piece probabilities of each language by EM over the words of its texts."""
-    pieces = Pieces(path)
     names = sorted(set(langs))
-    logs = np.zeros((pieces.size + 1, len(names)))
+    counts = {name: Counter() for name in names}
+    for t, lang in zip(texts, langs, strict=True):
+        counts[lang].update(words_of(t))
+    pieces = Pieces("".join({c for count in counts.values() for w in count for c in w}), path)
+    prob = np.zeros((pieces.size + 1, len(names)))
     for k, name in enumerate(names):
-        count = Counter(w for t, lang in zip(texts, langs, strict=True) if lang == name for w in words_of(t))
-        words = sorted(count, key=lambda w: (len(w), w))
-        n = np.array([count[w] for w in words], float)
-        parts = []
-        for lo in range(0, len(words), 8192):
-            e = pieces.edges(words[lo : lo + 8192])
-            parts.append((lo, e, np.array([len(w) + 1 for w in words[lo : lo + 8192]])))
-        p = np.full(pieces.size + 1, 1 / pieces.size)
+        words = sorted(counts[name], key=lambda w: (len(w), w))
+        n = np.array([counts[name][w] for w in words], float)
+        parts = [(n[lo : lo + 8192], pieces.numbers(words[lo : lo + 8192]), np.array([len(w) + 1 for w in words[lo : lo + 8192]])) for lo in range(0, len(words), 8192)]
+        p = np.full(pieces.size + 1, 1 / max(1, pieces.size))
         for _ in range(rounds):
             p[-1] = UNKNOWN
             seen = np.zeros(pieces.size + 1)
-            for lo, e, end in parts:
-                m = len(end)
-                alpha = forward(m, e, p[:, None])[:, :, 0]
-                w, i, j, q = e
+            for m, rows, end in parts:
+                alpha = forward(pieces, rows, end, p[:, None])[:, :, 0]
+                total = np.maximum(alpha[np.arange(len(end)), end], 1e-300)
                 beta = np.zeros_like(alpha)
-                beta[np.arange(m), end] = 1
-                for x in reversed(_steps(e, 1)):
-                    np.add.at(beta, (w[x], i[x]), beta[w[x], j[x]] * p[q[x]])
-                total = np.maximum(alpha[np.arange(m), end], 1e-300)
-                post = alpha[w, i] * p[q] * beta[w, j] / total[w] * n[lo + w]
-                seen += np.bincount(q, post, pieces.size + 1)
-            p = (seen + smooth / pieces.size) / (seen[:-1].sum() + smooth)
+                beta[np.arange(len(end)), end] = 1
+                for i in range(rows.shape[1] - 1, -1, -1):
+                    for w, j, q in pieces.walk(rows, i, end):
+                        way = p[q] * beta[w, j]
+                        beta[w, i] += way
+                        seen += np.bincount(q, alpha[w, i] * way / total[w] * m[w], pieces.size + 1)
+            p = (seen + smooth / max(1, pieces.size)) / (seen[:-1].sum() + smooth)
         p[-1] = UNKNOWN
-        logs[:, k] = np.log(p)
-    return Model(names, logs, path)
+        prob[:, k] = p
+    return Model(names, prob, pieces)
 
 
 def sample(docs: DataFrame, per_lang: int = SAMPLE, folds: int = FOLDS, held: bool = False) -> list:
