@@ -15,8 +15,8 @@
 4. Within a shard, rows are ordered by a hash of (seed, doc_id, copy).
 
 Only the boundary block of each source is ever ordered by document; all that is joined
-to the documents is one row for each source or block, which Spark broadcasts or not by
-its measured size.  DataFrame functions only.
+to the documents is one row for each source or block, broadcast if it is counted and
+found small, else joined by a shuffle.  DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .shared import cut
+from .shared import cut, sized
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS, SHARE, MOST, SEED, BLOCK_DOCS, SHARD_WORDS = (3, 1, 2), 1.5, 2, 17, 1024, 50_000_000
@@ -44,10 +44,10 @@ def _sized(docs: DataFrame, seed: int) -> DataFrame:
     )
 
 
-def targets(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST, block_docs: int = BLOCK_DOCS) -> DataFrame:
+def targets(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST, block_docs: int = BLOCK_DOCS) -> DataFrame:
     """One row for each source: __k, source_size, target, whole (times all of it is
     taken), rest (words of one more copy), blocks."""
-    by = sized.groupBy("__k").agg(F.sum("__size").alias("s"), F.count("*").alias("n"))
+    by = docs.groupBy("__k").agg(F.sum("__size").alias("s"), F.count("*").alias("n"))
     rank = F.row_number().over(W.orderBy("__k"))
     w = by.withColumn("w", F.element_at(F.array(*[F.lit(int(x)) for x in weights]), ((rank - 1) % len(weights) + 1).cast("int")).cast("long"))
     order = W.orderBy(F.col("s") * most / F.col("w"), "__k")
@@ -108,9 +108,9 @@ def split_tree(draws: DataFrame, levels: int, seed: int = SEED) -> DataFrame:
 def plan(docs: DataFrame, shards: int | None = None, weights=WEIGHTS, share: float = SHARE, most: int = MOST, seed: int = SEED, block_docs: int = BLOCK_DOCS) -> DataFrame:
     """``docs`` with __size, __h, source_size, target, __rest (words of a further copy)
     and __copies, an array of (copy, shard) for the copies drawn, as ``__plan``."""
-    sized = _sized(docs, seed)
+    full = _sized(docs, seed)
     slim = cut(_sized(docs.select("doc_id", "text", "source"), seed).select("doc_id", "__k", "__size", "__h"))
-    by = cut(targets(slim, weights, share, most, block_docs))
+    by = sized(cut(targets(slim, weights, share, most, block_docs)))
     at = F.floor(F.col("__h") / F.lit(_TWO60) * F.col("blocks")).cast("long")
     blocks = slim.join(by.select("__k", "blocks"), "__k").groupBy("__k", at.alias("__b")).agg(F.sum("__size").alias("words"))
     order = W.partitionBy("__k").orderBy("__b")
@@ -130,8 +130,8 @@ def plan(docs: DataFrame, shards: int | None = None, weights=WEIGHTS, share: flo
     copies = units.where("n > 0").select("__k", "__b", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n").cast("long"))).alias("copy"))
     rank = F.row_number().over(W.partitionBy("__k").orderBy(F.xxhash64(F.lit(seed), "__k", "__b", "copy"), "__b", "copy")).cast("long")
     placed = copies.withColumn("r", rank).join(ranks, ["__k", "r"]).groupBy("__k", "__b").agg(F.array_sort(F.collect_list(F.struct("copy", "shard"))).alias("__copies"))
-    of_block = cut(units.select("__k", "__b", "source_size", "target", "whole", "left", "words").join(placed, ["__k", "__b"], "left"))
-    keyed = sized.join(by.select("__k", "blocks"), "__k").withColumn("__b", at).drop("blocks")
+    of_block = sized(cut(units.select("__k", "__b", "source_size", "target", "whole", "left", "words").join(placed, ["__k", "__b"], "left")))
+    keyed = full.join(by.select("__k", "blocks"), "__k").withColumn("__b", at).drop("blocks")
     return keyed.join(of_block.withColumnsRenamed({"source_size": "__source_size", "target": "__target", "whole": "__whole", "left": "__left", "words": "__words"}), ["__k", "__b"])
 
 

@@ -24,6 +24,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+BROADCAST_ROWS = 100_000
+
+
+def sized(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``rows`` rows, counted; else as it is, for
+    a shuffled join.  For tables of a few short columns that are already written."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def fold_of(doc_id: Column, folds: int) -> Column:
     """crc32 of the id's decimal text, modulo ``folds``."""
     return F.crc32(doc_id.cast("string").cast("binary")) % folds
