@@ -57,9 +57,9 @@ def _marked(p: Column) -> Column:
     run with ! ? or … is out of reach of these, as they look for full stops alone."""
     p = F.regexp_replace(p, rf"([.!?…]+)(?=(?U:\s+){OPENERS})(?![.!?…])", "$1\u0001")
     short = "|".join(sorted((w for ws in NO_STOP.values() for w in ws), key=lambda w: (-len(w), w)))
-    before = rf"(?iu)(?<![{TOKEN_LETTERS}.!?…])"
+    before = rf"(?iu)(?<![{TOKEN_LETTERS}])"
     p = F.regexp_replace(p, rf"{before}({short}|[{CAPITALS}a-zá-ž])(\.+)\u0001", "$1$2")
-    return F.regexp_replace(p, rf"(?<![{TOKEN_LETTERS}.!?…])([0-9]+)(\.+)\u0001(?!(?U:\s+)[{CAPITALS}])", "$1$2")
+    return F.regexp_replace(p, rf"(?iu)(?<![{TOKEN_LETTERS}])([0-9]+)(\.+)\u0001(?!(?U:\s+)(?-i:[{CAPITALS}]))", "$1$2")
 
 
 def sentences(c: Column) -> Column:
@@ -111,10 +111,10 @@ def expand_abbreviations(c: Column) -> Column:
     """Spoken forms of shortened words; a capital first letter stays one."""
     for key, form in sorted(DOTTED.items(), key=lambda kv: (-len(kv[0]), kv[0])):
         c = F.regexp_replace(c, rf"(?U)\b{key[0].upper()}(?iu:{key[1:]})\.", form[0].upper() + form[1:])
-        c = F.regexp_replace(c, rf"(?iuU)\b{key}\.", form)
+        c = F.regexp_replace(c, rf"(?U)\b{key[0]}(?iu:{key[1:]})\.", form)
     for key, form in UNDOTTED.items():
         c = F.regexp_replace(c, rf"(?U)\b{key[0].upper()}(?iu:{key[1:]})\b", form[0].upper() + form[1:])
-        c = F.regexp_replace(c, rf"(?iuU)\b{key}\b", form)
+        c = F.regexp_replace(c, rf"(?U)\b{key[0]}(?iu:{key[1:]})\b", form)
     return c
 
 

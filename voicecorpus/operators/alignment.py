@@ -46,7 +46,7 @@ def match(book: DataFrame, asr: DataFrame) -> DataFrame:
             for m in SequenceMatcher(None, b["tok"].tolist(), a["tok"].tolist(), autojunk=False).get_matching_blocks():
                 out += [(m.a + k, m.b + k) for k in range(m.size)]
         key = b["book_id"].iloc[0] if len(b) else a["book_id"].iloc[0]
-        return pd.DataFrame({"book_id": [key] * len(out), "pos": [p for p, _ in out], "idx": [i for _, i in out]})
+        return pd.DataFrame({"book_id": pd.Series([key] * len(out), dtype=object), "pos": pd.Series([p for p, _ in out], dtype="int32"), "idx": pd.Series([i for _, i in out], dtype="int32")})
 
     return book.select("book_id", "pos", "tok").groupBy("book_id").cogroup(asr.select("book_id", "idx", "tok").groupBy("book_id")).applyInPandas(pairs, "book_id string, pos int, idx int")
 

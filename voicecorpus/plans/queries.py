@@ -46,8 +46,8 @@ _L = T.TOKEN_LETTERS
 _MARK = (
     "regexp_replace(regexp_replace(regexp_replace({p}, "
     f"'([.!?…]+)(\\s+{T.OPENERS})', '\\1' || chr(1) || '\\2', 'g'), "
-    f"'(?i)(^|[^{_L}.!?…])({_SHORT}|[{T.CAPITALS}a-zá-ž])(\\.+)' || chr(1), '\\1\\2\\3', 'g'), "
-    f"'(^|[^{_L}.!?…])([0-9]+)(\\.+)' || chr(1) || '(\\s+[^{T.CAPITALS}\\s])', '\\1\\2\\3\\4', 'g')"
+    f"'(?i)(^|[^{_L}])({_SHORT}|[{T.CAPITALS}a-zá-ž])(\\.+)' || chr(1), '\\1\\2\\3', 'g'), "
+    f"'((?i:^|[^{_L}]))([0-9]+)(\\.+)' || chr(1) || '(\\s+[^{T.CAPITALS}\\s])', '\\1\\2\\3\\4', 'g')"
 )
 _SENTS = f"list_filter(list_transform(flatten(list_transform({_PARAS}, lambda p: string_split({_MARK.format(p='p')}, chr(1)))), lambda s: regexp_replace(s, '^\\s+|\\s+$', '', 'g')), lambda s: s <> '')"
 _TOKENS = lambda x: f"list_transform(regexp_extract_all({x}, '{T.TOKEN}'), lambda w: lower(w))"
@@ -109,7 +109,7 @@ def _sql_abbreviations(x: str) -> str:
         stop = "\\." if key in T.DOTTED else "($|[^0-9A-Za-z_À-ɏ])"
         back = "" if key in T.DOTTED else "\\2"
         rest = f"(?i:{key[1:]})" if key[1:] else ""
-        for k, f in ((key[0].upper() + rest, form[0].upper() + form[1:]), (f"(?i:{key})", form)):
+        for k, f in ((key[0].upper() + rest, form[0].upper() + form[1:]), (key[0] + rest, form)):
             x = f"regexp_replace({x}, '(^|[^0-9A-Za-z_À-ɏ]){k}{stop}', '\\1{f}{back}', 'g')"
     return x
 
@@ -245,7 +245,7 @@ def _event_segments(spark, d):
 @_query(
     f"""WITH RECURSIVE {_EVENT_SEGS}, n AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY start, event_id) AS k FROM e),
 m AS (SELECT user_id, k, 0 AS g, event_id AS seg, start, "end", score FROM n WHERE k = 1
- UNION ALL SELECT n.user_id, n.k, m.g + (NOT j)::INT, CASE WHEN j THEN m.seg ELSE n.event_id END, CASE WHEN j THEN m.start ELSE n.start END, n."end", CASE WHEN j THEN round((m.score + n.score) / 2, 3) ELSE n.score END
+ UNION ALL SELECT n.user_id, n.k, m.g + (NOT j)::INT, CASE WHEN j THEN m.seg ELSE n.event_id END, CASE WHEN j THEN m.start ELSE n.start END, n."end", CASE WHEN j THEN round(((m.score + n.score) / 2)::VARCHAR::DECIMAL(38, 24), 3)::DOUBLE ELSE n.score END
  FROM m JOIN n ON n.user_id = m.user_id AND n.k = m.k + 1, LATERAL (SELECT m."end" - m.start < 1 AND n.start - m."end" <= 1 AND n."end" - m.start <= 15 AS j))
 SELECT user_id, arg_max(seg, k)::VARCHAR AS seg_id, arg_max(start, k) AS start, arg_max("end", k) AS "end", arg_max(score, k) AS score FROM m GROUP BY user_id, g"""
 )
@@ -360,11 +360,11 @@ def loudness_gain(spark, d):
 @_query(
     """WITH x AS (SELECT vec_id, embedding AS e, unnest(range(48))::INT AS i FROM embeddings), p AS (SELECT *, i * (64 / 48) AS pos FROM x),
 q AS (SELECT *, floor(pos)::INT AS a, least(floor(pos)::INT + 1, 63) AS b FROM p)
-SELECT vec_id, i, round(e[a + 1]::DOUBLE + (e[b + 1]::DOUBLE - e[a + 1]::DOUBLE) * (pos - a), 5) AS sample FROM q"""
+SELECT vec_id, i, round((e[a + 1]::DOUBLE + (e[b + 1]::DOUBLE - e[a + 1]::DOUBLE) * (pos - a))::FLOAT::DOUBLE, 5) + 0.0::DOUBLE AS sample FROM q"""
 )
 def resample(spark, d):
     e = _t(spark, d, "embeddings").select("vec_id", F.posexplode(S.resampled(64, 48)("embedding")).alias("i", "s"))
-    return e.select("vec_id", "i", F.round(F.col("s").cast("double"), 5).alias("sample"))
+    return e.select("vec_id", "i", (F.round(F.col("s").cast("double"), 5) + F.lit(0.0)).alias("sample"))
 
 
 @_query()

@@ -54,7 +54,8 @@ def probed(files: DataFrame) -> DataFrame:
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            yield pd.concat([f[keep].reset_index(drop=True), pd.DataFrame([probe(c) for c in f["content"]], columns=["duration", "codec", "sample_rate", "channels"])], axis=1)
+            got = [probe(c) for c in f["content"]]
+            yield pd.DataFrame({c: f[c].tolist() for c in keep} | {k: [g[k] for g in got] for k in ("duration", "codec", "sample_rate", "channels")})
 
     schema = ", ".join(f"`{c}` {files.schema[c].dataType.simpleString()}" for c in keep)
     return files.mapInPandas(run, f"{schema}, duration double, codec string, sample_rate int, channels int")
