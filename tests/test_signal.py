@@ -58,7 +58,7 @@ def test_snap_start(spark):
 
 
 def test_regions(spark):
-    regions = [(0.5, 2.0), (3.0, 5.0), (10.0, 20.0)]
+    regions = list(zip((0.5, 3.0, 10.0), (2.0, 5.0, 20.0), strict=True))
     ends = {1.8: 2.0, 11.0: 11.0, 2.1: 2.0, 2.6: 2.6, 0.2: 0.2}
     starts = {3.4: 3.0, 15.0: 15.0, 2.8: 3.0, 2.2: 2.2}
     df = spark.createDataFrame([(regions, t) for t in [*ends, *starts]] + [([], 1.0)], "regions array<struct<start:double,end:double>>, t double")

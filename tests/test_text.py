@@ -34,8 +34,8 @@ def test_sentences(spark):
 def plain_sentences(text):
     """The rule as a scan, boundary by boundary."""
     out = []
-    for block in re.split(r"\n\s*\n", text):
-        p = re.sub(r"[ \t]+", " ", re.sub(r"\s*\n\s*", " ", block.strip()))
+    for lines in re.compile(r"\n\s*\n").split(text):
+        p = re.sub("[ \t]+", " ", " ".join(x.strip() for x in lines.strip().split("\n")))
         start = 0
         for m in re.finditer(r"[.!?…]+(?=\s)", p):
             nxt = p[m.end() :].lstrip()

@@ -19,7 +19,7 @@ DEFAULTS: dict = {
     "paths": {"dataset": "data/dataset", "work": "data/work", "raw": "data/raw"},
     "language": "cs",
 }
-STAGE_FOLDERS = {"ingest": "00_ingest", "text_prep": "01_text_prep", "transcribe": "02_transcribe", "align": "03_align", "segment": "04_segment", "quality": "05_quality"}
+STAGE_FOLDERS = {name: f"{i:02d}_{name}" for i, name in enumerate("ingest text_prep transcribe align segment quality".split())}
 
 
 def deep_merge(base: dict, over: dict) -> dict:
@@ -34,10 +34,6 @@ class Config:
     def __init__(self, data: dict):
         self._data = data
 
-    @property
-    def data(self) -> dict:
-        return copy.deepcopy(self._data)
-
     def get(self, key: str, default: Any = None) -> Any:
         at: Any = self._data
         for part in key.split("."):
@@ -56,6 +52,11 @@ class Config:
         """Where a stage keeps its records, all books together, by book."""
         return f"{self.require('paths.work')}/{STAGE_FOLDERS[stage]}"
 
+    @property
+    def data(self) -> dict:
+        """A copy of the whole mapping."""
+        return copy.deepcopy(self._data)
+
 
 def load(path: str | None = None) -> Config:
     """The defaults, with a YAML file over them."""
@@ -66,3 +67,4 @@ def load(path: str | None = None) -> Config:
         with open(path, encoding="utf-8") as f:
             over = yaml.safe_load(f) or {}
     return Config(deep_merge(DEFAULTS, over))
+

@@ -111,19 +111,19 @@ def snap_start_regions(regions: Column, t: Column, back: float = 0.8, fwd: float
     return F.when(at.isNotNull() & (t <= at["end"]), F.when(at["start"] >= t - back, at["start"]).otherwise(t)).otherwise(gap)
 
 
-def resample(x: np.ndarray, sr_in: int, sr_out: int) -> np.ndarray:
+def resample(x: np.ndarray, rate: int, to: int) -> np.ndarray:
     """Linear interpolation on an even grid."""
-    if sr_in == sr_out or not len(x):
+    if rate == to or not len(x):
         return np.asarray(x, np.float32)
-    n = int(round(len(x) / sr_in * sr_out))
+    n = int(round(len(x) / rate * to))
     at = np.arange(n) * (len(x) / max(n, 1))
     return np.interp(at, np.arange(len(x)), x).astype(np.float32)
 
 
-def resampled(sr_in: int, sr_out: int):
+def resampled(rate: int, to: int):
     @F.pandas_udf("array<float>")
     def f(s: pd.Series) -> pd.Series:
-        return s.map(lambda x: resample(np.asarray(x, np.float64), sr_in, sr_out), na_action="ignore")
+        return s.map(lambda x: resample(np.asarray(x, np.float64), rate, to), na_action="ignore")
 
     return f
 
@@ -213,7 +213,7 @@ def edge_noise_of(sr: int, reverse: bool = False, **kw):
     return f
 
 
-def speech_regions(x: np.ndarray, sr: int, min_silence: float = 0.3, pad: float = 0.03) -> list[tuple[float, float]]:
+def speech_regions(x: np.ndarray, sr: int, min_silence: float = 0.3, pad: float = 0.03) -> list[tuple]:
     """Default region detector: frames above the silence threshold, short gaps closed."""
     size = max(1, int(sr * 0.02))
     rms = frame_levels(np.asarray(x, np.float64), size)

@@ -14,7 +14,7 @@ from pyspark.sql.types import StringType
 CAPITALS = "A-ZÄÖÜÁČĎÉĚÍŇÓŘŠŤÚŮÝŽ"
 TOKEN_LETTERS = CAPITALS + "a-z0-9á-ž"
 OPENERS = rf"""["„«»(\[0-9{CAPITALS}]"""
-TOKEN = r"[0-9A-Za-zÁ-Žá-ž]+"
+TOKEN = r"[Á-Žá-žA-Za-z0-9]+"
 #: Shortened words after which a full stop ends no sentence, by length.
 NO_STOP = {
     2: "aj bc dr fa ph sb sl sv tj tř ul př pí čl kč mj".split(),

@@ -76,7 +76,7 @@ def apply_review(spark: SparkSession, checked: str, verdicts: str, flagged: str)
     return counts
 
 
-def main(argv: list[str] | None = None) -> int:
+def main(words: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="voicecorpus")
     p.add_argument("--config")
     sub = p.add_subparsers(dest="command", required=True)
@@ -89,7 +89,7 @@ def main(argv: list[str] | None = None) -> int:
     a.add_argument("verdicts")
     for s in sub.choices.values():
         s.add_argument("--config", default=argparse.SUPPRESS)
-    args = p.parse_args(argv)
+    args = p.parse_args(words)
     cfg, spark = load(args.config), SparkSession.builder.appName("voicecorpus").getOrCreate()
     if args.command == "run":
         for name, n in run(spark, cfg, args.stage, args.from_stage, args.force).items():
