@@ -50,7 +50,7 @@ def test_targets_are_met_exactly(spark, block_docs):
 
 
 def test_mix_rows_hold_what_is_taken(spark):
-    df = spark.createDataFrame([(d, t, s, len(t or "")) for d, t, s in ROWS], "doc_id long, text string, source string, n_chars long")
+    df = spark.createDataFrame([(d, t, s, len(t or ""), "b", 1, 2) for d, t, s in ROWS], "doc_id long, text string, source string, n_chars long, blocks string, rest int, target int")
     rows = M.mix(df, keep_plan=True, block_docs=8, shards=4).collect()
     by = Counter()
     for r in rows:

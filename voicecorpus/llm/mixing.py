@@ -46,7 +46,7 @@ def _sized(docs: DataFrame, seed: int) -> DataFrame:
 
 def targets(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST, block_docs: int = BLOCK_DOCS) -> DataFrame:
     """One row for each source: __k, source_size, target, whole (times all of it is
-    taken), rest (words of one more copy), blocks."""
+    taken), rest (words of one more copy), __blocks."""
     by = docs.groupBy("__k").agg(F.sum("__size").alias("s"), F.count("*").alias("n"))
     rank = F.row_number().over(W.orderBy("__k"))
     w = by.withColumn("w", F.element_at(F.array(*[F.lit(int(x)) for x in weights]), ((rank - 1) % len(weights) + 1).cast("int")).cast("long"))
@@ -60,7 +60,7 @@ def targets(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int =
     d = d.withColumn("target", F.when(F.col("capped"), (F.col("s") * most).cast("double")).otherwise(F.least(F.col("w") * level, (F.col("s") * most).cast("double"))))
     quota = F.floor(F.col("target") + 0.5)
     full = F.when(F.col("s") > 0, F.floor(quota / F.greatest("s", F.lit(1)))).otherwise(F.lit(0)).cast("long")
-    return d.select("__k", F.col("s").alias("source_size"), "target", full.alias("whole"), (quota - full * F.col("s")).cast("long").alias("rest"), F.ceil(F.col("n") / block_docs).alias("blocks"))
+    return d.select("__k", F.col("s").alias("source_size"), "target", full.alias("whole"), (quota - full * F.col("s")).cast("long").alias("rest"), F.ceil(F.col("n") / block_docs).alias("__blocks"))
 
 
 def _lf(x: str) -> str:
@@ -111,8 +111,8 @@ def plan(docs: DataFrame, shards: int | None = None, weights=WEIGHTS, share: flo
     full = _sized(docs, seed)
     slim = cut(_sized(docs.select("doc_id", "text", "source"), seed).select("doc_id", "__k", "__size", "__h"))
     by = sized(cut(targets(slim, weights, share, most, block_docs)))
-    at = F.floor(F.col("__h") / F.lit(_TWO60) * F.col("blocks")).cast("long")
-    blocks = slim.join(by.select("__k", "blocks"), "__k").groupBy("__k", at.alias("__b")).agg(F.sum("__size").alias("words"))
+    at = F.floor(F.col("__h") / F.lit(_TWO60) * F.col("__blocks")).cast("long")
+    blocks = slim.join(by.select("__k", "__blocks"), "__k").groupBy("__k", at.alias("__b")).agg(F.sum("__size").alias("words"))
     order = W.partitionBy("__k").orderBy("__b")
     run = F.sum("words").over(order)
     blocks = cut(blocks.join(by, "__k").withColumn("before", run - F.col("words")))
@@ -131,7 +131,7 @@ def plan(docs: DataFrame, shards: int | None = None, weights=WEIGHTS, share: flo
     rank = F.row_number().over(W.partitionBy("__k").orderBy(F.xxhash64(F.lit(seed), "__k", "__b", "copy"), "__b", "copy")).cast("long")
     placed = copies.withColumn("r", rank).join(ranks, ["__k", "r"]).groupBy("__k", "__b").agg(F.array_sort(F.collect_list(F.struct("copy", "shard"))).alias("__copies"))
     of_block = sized(cut(units.select("__k", "__b", "source_size", "target", "whole", "left", "words").join(placed, ["__k", "__b"], "left")))
-    keyed = full.join(by.select("__k", "blocks"), "__k").withColumn("__b", at).drop("blocks")
+    keyed = full.join(by.select("__k", "__blocks"), "__k").withColumn("__b", at).drop("__blocks")
     return keyed.join(of_block.withColumnsRenamed({"source_size": "__source_size", "target": "__target", "whole": "__whole", "left": "__left", "words": "__words"}), ["__k", "__b"])
 
 
