@@ -193,21 +193,42 @@ class Trie:
             c[at[ok]] = counts[i[ok]]
         return n, c
 
+    def counts(self, n: np.ndarray) -> np.ndarray:
+        """How often each numbered word was counted."""
+        out = np.zeros(len(n), np.int64)
+        at = np.asarray(self.m["word_at"])
+        for s, i in _by(np.searchsorted(at, n, "right") - 1):
+            out[i] = _array(self.folder, f"words{s}", "count")[n[i] - at[s]]
+        return out
+
     def _word_shard(self, h: np.ndarray) -> np.ndarray:
         return (h >> np.uint64(64 - 16)).astype(np.int64) * self.m["word_shards"] >> 16
 
     def pairs(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(place in a's shard, place among a's successors) of pairs; -1 if unseen."""
+        """(place in a's shard, place among a's successors) of pairs; -1 if unseen.  Pairs are
+        sorted and looked up once each, a word's range of successors once for all of its."""
         place, rank = np.full(len(a), -1, np.int64), np.full(len(a), -1, np.int64)
         ok = np.flatnonzero((a >= 0) & (b >= 0))
-        for s, at in _by(a[ok] % self.m["pair_shards"]):
-            at = ok[at]
-            local = a[at] // self.m["pair_shards"]
-            ptr, seq = (_sequence(self.folder, f"pairs{s}", k) for k in ("ptr", "key"))
-            lo, hi = ptr.get(local).astype(np.int64), ptr.get(local + 1).astype(np.int64)
-            i = seq.find(lo, hi, (local * self.m["words"] + b[at]).astype(np.uint64))
-            place[at] = i
-            rank[at] = np.where(i >= 0, i - lo, -1)
+        if not len(ok):
+            return place, rank
+        shards, words_ = self.m["pair_shards"], self.m["words"]
+        width = np.uint64(-(-words_ // shards) * words_)
+        key = (a[ok] % shards).astype(np.uint64) * width + (a[ok] // shards).astype(np.uint64) * np.uint64(words_) + b[ok].astype(np.uint64)
+        key, back = _distinct(key)
+        shard = (key // width).astype(np.int64)
+        got, got_rank = np.empty(len(key), np.int64), np.empty(len(key), np.int64)
+        cuts = np.searchsorted(shard, np.arange(shards + 1))
+        for s in np.flatnonzero(np.diff(cuts)).tolist():
+            k = key[cuts[s] : cuts[s + 1]] - np.uint64(s) * width
+            local = (k // np.uint64(words_)).astype(np.int64)
+            first = np.flatnonzero(np.concatenate(([True], local[1:] != local[:-1])))
+            times = np.diff(np.append(first, len(local)))
+            ptr, seq = (_sequence(self.folder, f"pairs{s}", of) for of in ("ptr", "key"))
+            lo, hi = (np.repeat(ptr.get(local[first] + d).astype(np.int64), times) for d in (0, 1))
+            i = seq.find(lo, hi, k)
+            got[cuts[s] : cuts[s + 1]] = i
+            got_rank[cuts[s] : cuts[s + 1]] = np.where(i >= 0, i - lo, -1)
+        place[ok], rank[ok] = got[back], got_rank[back]
         return place, rank
 
     def successors(self, a: np.ndarray) -> np.ndarray:
@@ -245,29 +266,30 @@ class Trie:
         ctx, ctx_word = np.concatenate(([-1], place[:-1])), np.concatenate(([-1], before[:-1]))
         ctx[first] = -1
         out = np.zeros(len(w))
-        have = ctx >= 0
         third = np.full(len(w), -1, np.int64)
-        h = np.flatnonzero(have)
-        if len(h):
-            s = ctx_word[h] % shards
-            name = s * (1 << 32) + ctx[h] // chunk
-            for code, at in _by(name):
-                rows = h[at]
-                key = f"triples{code >> 32}_{code & 0xFFFFFFFF}"
-                if (code >> 32, code & 0xFFFFFFFF) not in self.m["triples"]:
-                    continue
-                local = ctx[rows] % chunk
-                back = _array(self.folder, key, "back_book")[_array(self.folder, key, "back")[local]]
-                out[rows] = back
-                seen = np.flatnonzero(rank[rows] >= 0)
-                if not len(seen):
-                    continue
-                r, local = rows[seen], local[seen]
-                ptr, base, seq = (_sequence(self.folder, key, k) for k in ("ptr", "base", "key"))
-                i = seq.find(ptr.get(local).astype(np.int64), ptr.get(local + 1).astype(np.int64), base.get(local) + rank[r].astype(np.uint64))
-                hit = np.flatnonzero(i >= 0)
-                third[r[hit]] = i[hit]
-                out[r[hit]] = _array(self.folder, key, "prob_book")[_array(self.folder, key, "prob")[i[hit]]]
+        h = np.flatnonzero(ctx >= 0)
+        # sorted by context, so that look-ups go through the files in order
+        node = ((ctx_word[h] % shards) << 40) | ctx[h]
+        h = h[np.argsort(node)]
+        for code, at in _runs(((ctx_word[h] % shards) << 32) | (ctx[h] // chunk)):
+            rows, name = h[at], (code >> 32, code & 0xFFFFFFFF)
+            if name not in self.m["triples"]:
+                continue
+            key = f"triples{name[0]}_{name[1]}"
+            local = ctx[rows] % chunk
+            out[rows] = _array(self.folder, key, "back_book")[_array(self.folder, key, "back")[local]]
+            seen = np.flatnonzero(rank[rows] >= 0)
+            if not len(seen):
+                continue
+            r, local = rows[seen], local[seen]
+            ptr, base, seq = (_sequence(self.folder, key, k) for k in ("ptr", "base", "key"))
+            first = np.flatnonzero(np.concatenate(([True], local[1:] != local[:-1])))
+            times, one = np.diff(np.append(first, len(local))), local[first]
+            lo, hi, start_at = (np.repeat(x, times) for x in (ptr.get(one).astype(np.int64), ptr.get(one + 1).astype(np.int64), base.get(one)))
+            i = seq.find(lo, hi, start_at + rank[r].astype(np.uint64))
+            hit = np.flatnonzero(i >= 0)
+            third[r[hit]] = i[hit]
+            out[r[hit]] = _array(self.folder, key, "prob_book")[_array(self.folder, key, "prob")[i[hit]]]
         two = np.flatnonzero((third < 0) & (place >= 0))
         out[two] += self.coded("pairs", before[two] % shards, place[two], "prob")
         one = np.flatnonzero((third < 0) & (place < 0))
@@ -277,15 +299,30 @@ class Trie:
         return out
 
 
+def _runs(key: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """(value, range) of each run of a value in a key that has each value in one run."""
+    if len(key):
+        at = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), len(key)]
+        for lo, hi in zip(at, at[1:], strict=False):
+            yield int(key[lo]), slice(lo, hi)
+
+
 def _by(key: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """(value, places) for each value of ``key``."""
-    if not len(key):
-        return
-    order = np.argsort(key, kind="stable")
+    small = len(key) and key.min() >= 0 and key.max() < 1 << 16
+    order = np.argsort(key.astype(np.uint16) if small else key, kind="stable")
+    for value, at in _runs(key[order]):
+        yield value, order[at]
+
+
+def _distinct(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted distinct values, where each is among them)."""
+    order = np.argsort(key)
     k = key[order]
-    at = [0, *(np.flatnonzero(k[1:] != k[:-1]) + 1).tolist(), len(k)]
-    for lo, hi in zip(at, at[1:], strict=False):
-        yield int(k[lo]), order[lo:hi]
+    new = np.concatenate(([True], k[1:] != k[:-1]))
+    back = np.empty(len(key), np.int64)
+    back[order] = np.cumsum(new) - 1
+    return k[new], back
 
 
 _held: list[Trie] = []
@@ -317,7 +354,7 @@ def _tokens(col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _numbered(trie: Trie, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    u, back = np.unique(h, return_inverse=True)
+    u, back = _distinct(h)
     n, c = trie.numbers(u)
     return n[back], c[back]
 
@@ -434,23 +471,24 @@ def train(docs: DataFrame, folder: str | None = None) -> dict:
     spark = docs.sparkSession
     folder = folder or f"{shared_dir(spark).rstrip('/')}/ngram-{uuid.uuid4().hex}"
     docs = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    meta: dict = {"folder": folder, "N": 0, "V": 0, "words": 1, "word_shards": 64, "word_at": [0] * 64, "pair_shards": 1, "triples": frozenset()}
+    many = min(1 << 16, max(64, docs.rdd.getNumPartitions()))  # shards of words follow the input
+    meta: dict = {"folder": folder, "N": 0, "V": 0, "words": 1, "word_shards": many, "word_at": [0] * many, "pair_shards": 1, "triples": frozenset()}
 
     # words
-    word_shard = lambda _, k: (k >> np.uint64(48)).astype(np.int64) * 64 >> 16
+    word_shard = lambda _, k: (k >> np.uint64(48)).astype(np.int64) * many >> 16
     counted = _count(docs, lambda col: [(0, _tokens(col)[0])], word_shard)
 
     def save_words(s: int, k: np.ndarray, c: np.ndarray) -> list[int]:
         _save(folder, f"words{s}", {"hash": k, "count": c})
         return [len(k), int(c.sum())]
 
-    got = {r.shard: r.out for r in _merge(counted, 64, save_words)}
-    for s in range(64):
+    got = {r.shard: r.out for r in _merge(counted, many, save_words)}
+    for s in range(many):
         if s not in got:
             save_words(s, np.zeros(0, np.uint64), np.zeros(0, np.int64))
             got[s] = [0, 0]
-    sizes = [got[s][0] for s in range(64)]
-    meta |= {"N": sum(got[s][1] for s in range(64)), "V": sum(sizes), "words": sum(sizes) + 1, "word_at": [0, *np.cumsum(sizes[:-1]).tolist()]}
+    sizes = [got[s][0] for s in range(many)]
+    meta |= {"N": sum(got[s][1] for s in range(many)), "V": sum(sizes), "words": sum(sizes) + 1, "word_at": [0, *np.cumsum(sizes[:-1]).tolist()]}
     if not meta["N"]:
         return meta
     words_ = meta["words"]
@@ -483,8 +521,7 @@ def train(docs: DataFrame, folder: str | None = None) -> dict:
         trie = _trie(meta)
         k, c = _sequence(folder, f"pairs{s}", "key").all(), _counts_of(folder, f"pairs{s}")
         before, after = (k // np.uint64(words_)).astype(np.int64), (k % np.uint64(words_)).astype(np.int64)
-        counts = np.concatenate([_array(folder, f"words{i}", "count") for i in range(64)])
-        p, back = _smoothed(c, before, -(-words_ // shards), d2, 10 ** trie.unigram(counts[after]))
+        p, back = _smoothed(c, before, -(-words_ // shards), d2, 10 ** trie.unigram(trie.counts(after)))
         out = {}
         for what, logs in (("prob", p), ("back", back)):
             out[what], out[f"{what}_book"] = _quantise(logs)
