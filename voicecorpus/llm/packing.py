@@ -97,7 +97,7 @@ class Bins:
 
     def best_fit(self) -> None:
         """Each piece, largest first, into the fullest bin that has room for it."""
-        by_room: list[list[int]] = [[] for _ in range(self.capacity + 1)]
+        by_room = {r: [] for r in range(1 + self.capacity)}
         some = 0  # bit r: a bin has room r
         for i in sorted(range(len(self.size)), key=lambda i: -self.size[i]):
             n = self.size[i]
@@ -123,7 +123,7 @@ class Bins:
         cap, size, bins, room = self.capacity, self.size, self.bins, self.room
         age = [0] * len(bins)
         # what a bin could take instead of what it gives (nothing, one or two pieces): by largest
-        offers: list[list[tuple]] = [[] for _ in range(cap + 1)]
+        offers = {t: [] for t in range(1 + cap)}
         some = 0
 
         def offer(b: int) -> None:
