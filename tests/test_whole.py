@@ -46,3 +46,10 @@ def test_distance_is_levenshtein(spark):
     df = spark.createDataFrame([*pairs, (None, "a"), ("a", None)], "a string, b string")
     got = df.select(T.edit_distance("a", "b").alias("x"), F.levenshtein("a", "b").alias("y")).collect()
     assert [r.x for r in got] == [r.y for r in got]
+
+
+def test_xml_escape_reads_whole_pages(spark, tmp_path):
+    pages = [(0, "<p>a & b</p>" * 50), (1, "x" * 199 + "&<>" * 40 + "é"), (2, ""), (3, None)]
+    spark.createDataFrame(pages, "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r.page_id: r.escaped for r in Q.QUERIES["xml_escape"](spark, str(tmp_path)).collect()}
+    assert got == {i: h and h.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;") for i, h in pages}
