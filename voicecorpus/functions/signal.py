@@ -75,23 +75,34 @@ def _islands(rms: Column, threshold: Column, lo: Column, hi: Column) -> Column:
     return F.aggregate(idx, empty, add)
 
 
-def snap_end(rms: Column, frame_len: int, sr: int, threshold: Column, t: Column, back: float = 0.24, fwd: float = 0.8, pause: float = 0.3) -> Column:
+def _need(pause: float, frame_len: int | Column, sr: int | Column):
+    """Whole frames of a pause, one at least."""
+    if isinstance(sr, Column):
+        return F.greatest(F.lit(1), (pause * sr / frame_len).cast("int"))
+    return max(1, int(pause * sr / frame_len))
+
+
+def _double(n: int | Column):
+    return n.cast("double") if isinstance(n, Column) else float(n)
+
+
+def snap_end(rms: Column, frame_len: int | Column, sr: int | Column, threshold: Column, t: Column, back: float = 0.24, fwd: float = 0.8, pause: float = 0.3) -> Column:
     """Where the first pause after ``t - back`` begins; ``t`` if silence is already there, or none is found."""
     lo = F.greatest(F.lit(0), ((t - back) * sr / frame_len).cast("int"))
     hi = F.least(F.size(rms), ((t + fwd) * sr / frame_len).cast("int") + 1)
-    need = max(1, int(pause * sr / frame_len))
+    need = _need(pause, frame_len, sr)
     first = F.try_element_at(F.filter(_islands(rms, threshold, lo, hi), lambda r: r["n"] >= need), F.lit(1))
-    return F.when(first.isNull() | (first["a"] == lo), t).otherwise(first["a"] * float(frame_len) / sr)
+    return F.when(first.isNull() | (first["a"] == lo), t).otherwise(first["a"] * _double(frame_len) / sr)
 
 
-def snap_start(rms: Column, frame_len: int, sr: int, threshold: Column, t: Column, back: float = 0.8, fwd: float = 0.24, pause: float = 0.3) -> Column:
+def snap_start(rms: Column, frame_len: int | Column, sr: int | Column, threshold: Column, t: Column, back: float = 0.8, fwd: float = 0.24, pause: float = 0.3) -> Column:
     """The mirror of ``snap_end``: where the last pause before ``t + fwd`` ends."""
     hi = F.least(F.size(rms) - 1, ((t + fwd) * sr / frame_len).cast("int"))
     lo = F.greatest(F.lit(0), ((t - back) * sr / frame_len).cast("int"))
-    need = max(1, int(pause * sr / frame_len))
+    need = _need(pause, frame_len, sr)
     last = F.try_element_at(F.filter(_islands(rms, threshold, lo, hi + 1), lambda r: r["n"] >= need), F.lit(-1))
     end = last["a"] + last["n"] - 1
-    return F.when(last.isNull() | (end == hi), t).otherwise((end + 1) * float(frame_len) / sr)
+    return F.when(last.isNull() | (end == hi), t).otherwise((end + 1) * _double(frame_len) / sr)
 
 
 def _around(regions: Column, t: Column) -> tuple[Column, Column]:

@@ -42,20 +42,25 @@ def missing_chapters(segments: DataFrame, chapters: DataFrame) -> DataFrame:
     return lost.groupBy("book_id", "chapter_id").agg(F.count("*").alias("segments"))
 
 
-def cut_clips(merged: DataFrame, pad: float = 0.1, detector: str = "regions") -> DataFrame:
+def cut_clips(merged: DataFrame, pad: float = 0.1, detector: str = "regions", keep: tuple[str, ...] = ()) -> DataFrame:
     """Clips of merged segments (with duration of the chapter, and regions or rms, frame_len,
     sr and threshold): ends snapped to silence, padded, clamped; numbered within the chapter
-    before empty ones go."""
+    before empty ones go.  ``keep``: further columns, among them a and b, the ends unrounded."""
     if detector == "regions":
         start, end = S.snap_start_regions(F.col("regions"), F.col("start")), S.snap_end_regions(F.col("regions"), F.col("end"))
+    elif detector == "energy":
+        level = F.col("rms"), F.col("frame_len"), F.col("sr"), F.col("threshold")
+        start, end = S.snap_start(*level, F.col("start")), S.snap_end(*level, F.col("end"))
     elif detector == "none":
         start, end = F.col("start"), F.col("end")
     else:
         raise ValueError(f"unknown detector: {detector}")
     idx = F.row_number().over(W.partitionBy("book_id", "chapter_id").orderBy("start", "seg_id")) - 1
-    d = merged.withColumn("idx", idx).withColumn("a", F.greatest(F.lit(0.0), start - pad)).withColumn("b", F.least(F.col("chapter_duration"), end + pad))
+    # snapped before the window, so no chapter's levels or regions are sorted with its clips
+    d = merged.withColumn("a", F.greatest(F.lit(0.0), start - pad)).withColumn("b", F.least(F.col("chapter_duration"), end + pad)).drop("rms", "regions")
+    d = d.withColumn("idx", idx)
     d = d.where("b > a").withColumn("clip_id", T.clip_id(F.col("chapter_id"), F.col("idx")))
-    return d.select("book_id", "chapter_id", "seg_id", "clip_id", "text", "normalized", F.round("a", 3).alias("start"), F.round("b", 3).alias("end"), F.round(F.col("b") - F.col("a"), 3).alias("duration"), F.col("score").alias("align_score"))
+    return d.select("book_id", "chapter_id", "seg_id", "clip_id", "text", "normalized", F.round("a", 3).alias("start"), F.round("b", 3).alias("end"), F.round(F.col("b") - F.col("a"), 3).alias("duration"), F.col("score").alias("align_score"), *keep)
 
 
 def region_join(points: DataFrame, regions: DataFrame, key: str) -> DataFrame:

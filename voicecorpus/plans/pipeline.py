@@ -38,10 +38,20 @@ def align(spark: SparkSession, cfg: Config) -> DataFrame:
 
 
 def segment(spark: SparkSession, cfg: Config) -> DataFrame:
+    """Clips with their WAV files.  segment.vad: silero snaps to speech regions, found by the
+    energy detector in the neural one's place; energy snaps to pauses in the frames' levels."""
+    vad = cfg.require("segment.vad")
+    if vad not in ("silero", "energy"):
+        raise ValueError(f"unknown segment.vad: {vad}")
     chapters = _of(spark, cfg, "ingest", schemas.CHAPTER).select("book_id", "chapter_id", "speaker_id", F.col("duration").alias("chapter_duration"))
     s = _of(spark, cfg, "align", schemas.SEGMENT).withColumn("rank", F.xxhash64("seg_id"))
+    files = records.chapter_files(spark, cfg.require("paths.raw"), content=True).join(s.select("book_id", "chapter_id").distinct(), ["book_id", "chapter_id"], "left_semi")
+    sound = audio.levels(files) if vad == "energy" else audio.regions(files, cfg.require("segment.vad_min_silence_ms") / 1000, cfg.require("segment.vad_speech_pad_ms") / 1000)
     merged = segments.merge_short(s, ["book_id", "chapter_id"], cfg.require("segment.min_duration"), cfg.require("segment.max_duration"))
-    return segments.cut_clips(segments.with_chapters(merged, chapters), cfg.require("segment.silence_pad"), "none")
+    found = segments.with_chapters(merged, chapters.join(sound, ["book_id", "chapter_id"]))
+    clips = segments.cut_clips(found, cfg.require("segment.silence_pad"), "energy" if vad == "energy" else "regions", ("speaker_id", "a", "b"))
+    wavs = audio.cut_wavs(clips, files, f"{cfg.stage_path('segment')}-wavs")
+    return clips.drop("a", "b").join(wavs, ["book_id", "clip_id"])
 
 
 STAGES: dict[str, Stage] = {"ingest": ingest, "text_prep": prepare_text, "align": align, "segment": segment}

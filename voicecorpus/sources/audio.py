@@ -11,8 +11,9 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from ..functions.signal import resample
+from ..functions.signal import frame_levels, resample, speech_regions
 
 
 def probe(content: bytes) -> dict:
@@ -74,6 +75,57 @@ def samples(files: DataFrame) -> DataFrame:
     return files.mapInPandas(run, f"{schema}, sr int, samples array<float>")
 
 
+def levels(files: DataFrame) -> DataFrame:
+    """(book_id, chapter_id, sr, frame_len, rms, threshold) of ``files`` (..., content): frames of 20 ms."""
+
+    def one(content: bytes) -> tuple:
+        x, sr = decode(content)
+        size = max(1, int(sr * 0.02))
+        rms = frame_levels(x, size)
+        if not len(rms):
+            rms = np.sqrt([(x.astype(np.float64) ** 2).sum() / max(1, len(x)) + 1e-12])
+        return sr, size, rms, max(float(np.quantile(rms, 0.95)) * 0.15, 1e-4)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            got = [one(c) for c in f["content"]]
+            yield f[["book_id", "chapter_id"]].assign(**{k: [g[i] for g in got] for i, k in enumerate(("sr", "frame_len", "rms", "threshold"))})
+
+    return files.mapInPandas(run, "book_id string, chapter_id string, sr int, frame_len int, rms array<double>, threshold double")
+
+
+def regions(files: DataFrame, min_silence: float, pad: float) -> DataFrame:
+    """(book_id, chapter_id, regions) of ``files`` (..., content) by the energy detector."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            yield f[["book_id", "chapter_id"]].assign(regions=[[{"start": a, "end": b} for a, b in speech_regions(*decode(c), min_silence, pad)] for c in f["content"]])
+
+    return files.mapInPandas(run, "book_id string, chapter_id string, regions array<struct<start:double,end:double>>")
+
+
+def cut_wavs(clips: DataFrame, files: DataFrame, folder: str) -> DataFrame:
+    """Write ``clips`` (book_id, chapter_id, clip_id, a, b) of ``files`` (book_id, chapter_id,
+    content) as ``folder``/book/clip.wav, decoding a chapter once; returns (book_id, clip_id, wav)."""
+    cuts = clips.groupBy("book_id", "chapter_id").agg(F.collect_list(F.struct("clip_id", "a", "b")).alias("cuts"))
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            out = []
+            for book, content, cs in zip(f["book_id"], f["content"], f["cuts"], strict=True):
+                x, sr = decode(content)
+                os.makedirs(f"{folder}/{book}", exist_ok=True)
+                for c in cs:
+                    part, at = f"{folder}/{book}/.{uuid.uuid4().hex}", f"{folder}/{book}/{c['clip_id']}.wav"
+                    with open(part, "wb") as w:
+                        w.write(encode(x[int(c["a"] * sr) : int(c["b"] * sr)], sr))
+                    os.replace(part, at)
+                    out.append((book, c["clip_id"], at))
+            yield pd.DataFrame(out, columns=["book_id", "clip_id", "wav"])
+
+    return cuts.join(files.select("book_id", "chapter_id", "content"), ["book_id", "chapter_id"]).mapInPandas(run, "book_id string, clip_id string, wav string")
+
+
 def write_wavs(clips: DataFrame, folder: str, sr_out: int | None = None) -> DataFrame:
     """Write ``clips`` (clip_id, sr, samples[, gain]) as WAV files in ``folder``, a mounted shared
     one; returns (clip_id, wav).  A file is put in place whole, so a task may run twice."""
