@@ -86,4 +86,14 @@ def test_held_out_accuracy(spark, sf):
     m = T.train(docs, labels)
     got = T.predict(held, m).join(labels, "doc_id").collect()
     hit = sum(r.predicted and r.toxic for r in got)
-    assert hit >= 0.7 * sum(r.toxic for r in got) and hit >= 0.8 * sum(r.predicted for r in got)
+    assert hit >= 0.9 * sum(r.toxic for r in got) and hit >= 0.9 * sum(r.predicted for r in got)
+
+
+def test_long_and_repeated_texts(spark):
+    rows = corpus()
+    m = T.learn([t for _, t, _ in rows], [y for _, _, y in rows], landmarks=24)
+    plain = next(t for _, t, y in rows if not y)
+    long = " ".join([plain] * 4000)  # over a million letters
+    docs = spark.createDataFrame([(1, long), (2, long + " wizzok"), (2, long + " wizzok"), (3, plain), (4, "y" * 300_000)], "doc_id long, text string")
+    got = sorted((r.doc_id, r.score) for r in T.predict(docs, m).collect())
+    assert got[0][1] == got[3][1] < 0.5 <= got[1][1] and got[1] == got[2] and 0 <= got[4][1] <= 1

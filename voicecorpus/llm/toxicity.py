@@ -34,7 +34,11 @@ from pyspark.sql import functions as F
 
 from .shared import fold_of
 
-ORDER, DECAY, LANDMARKS, SAMPLE_TOXIC, SAMPLE_CLEAN, FOLDS, ROUNDS, INSERTED = 3, 0.6, 160, 1000, 2000, 5, 2, 2
+ORDER, DECAY, LANDMARKS, FOLDS, ROUNDS, INSERTED = 3, 0.6, 640, 5, 2, 2
+#: Bounds of what the classifier is fitted on: labelled documents of either kind, and of the clean
+#: ones' distinct units those searched for hard examples, those every SVM starts from, and the
+#: highest-scoring ones that each round adds.
+SAMPLE_TOXIC, SAMPLE_CLEAN, MINED, POOL, HARD = 1000, 2000, 40_000, 6_000, 3_000
 WINDOW = 20  # a longer unit is scored by windows of this many letters, half of one apart
 _CACHE_UNITS = 300_000
 _SIGNS = re.compile(r"[^\w\s]|_")
@@ -217,8 +221,13 @@ def _inserted(unit: str, rng: np.random.Generator) -> list[str]:
     return out
 
 
-def learn(texts: list[str | None], toxic: list[int], landmarks: int = LANDMARKS, rounds: int = ROUNDS, seed: int = 5) -> Model:
-    """The model from labelled texts, by their sentences."""
+def learn(texts: list[str | None], toxic: list[int], landmarks: int = LANDMARKS, rounds: int = ROUNDS, seed: int = 5, mined: int = MINED, pool: int = POOL, hard: int = HARD) -> Model:
+    """The model from labelled texts, by their sentences.
+
+    Of the clean texts' distinct units, ``mined`` drawn at random and all that toxic texts have
+    too are searched for hard examples; each SVM sees ``pool`` of the former and the ``hard``
+    highest-scoring ones of each round before it.  Null texts have no unit; repeated rows count
+    each; labels of one kind only give a model that scores everything 0."""
     y = np.array(toxic, int)
     if not (y == 1).any() or not (y == 0).any():
         return Model(None, None, 0.0, (0.0, 0.0))
@@ -244,8 +253,8 @@ def learn(texts: list[str | None], toxic: list[int], landmarks: int = LANDMARKS,
     val, vec = np.linalg.eigh((k + k.T) / 2)
     root = vec / np.sqrt(np.maximum(val, 1e-6)) @ vec.T
     clean = sorted(df0)
-    mined = [clean[i] for i in rng.permutation(len(clean))[:40_000]]
-    pool = mined[:6_000]
+    drawn = [clean[i] for i in rng.permutation(len(clean))[:mined]]
+    seen = drawn[:pool]
     value = {u: z[u] for u in z}  # the first witnesses: what stands out most
     w = None
     for _ in range(rounds):
@@ -263,7 +272,7 @@ def learn(texts: list[str | None], toxic: list[int], landmarks: int = LANDMARKS,
         if not witnesses:
             break
         pos = sorted(witnesses)
-        neg = sorted(set(pool) - set(pos))
+        neg = sorted(set(seen) - set(pos))
         like = [(v, u) for u in pos for v in _inserted(u, rng) if v not in df0]
         x = np.concatenate((f.project(pos, table), f.project(neg, table), f.project([v for v, _ in like], table))) @ root
         target = np.concatenate((np.ones(len(pos)), -np.ones(len(neg)), np.ones(len(like))))
@@ -277,11 +286,11 @@ def learn(texts: list[str | None], toxic: list[int], landmarks: int = LANDMARKS,
             weight = np.concatenate((weight, np.array([df0[u] / n0 for u in both]) * 500))
         w = _svm(x, target, weight)
         model = Model(f, (table @ (root @ w[:-1])).astype(np.float64)[:, None], float(w[-1]), (1.0, 0.0))
-        units = sorted({*df1, *mined})
+        units = sorted({*df1, *drawn})
         score = f.project(units, model.table)[:, 0] + model.bias
         value = dict(zip(units, score.tolist(), strict=True))
-        hard = [u for u in sorted((u for u in value if df0[u]), key=lambda u: -value[u])[:3000] if value[u] > -1]
-        pool = sorted({*pool, *hard})
+        closest = [u for u in sorted((u for u in value if df0[u]), key=lambda u: -value[u])[:hard] if value[u] > -1]
+        seen = sorted({*seen, *closest})
     if w is None:
         return Model(None, None, 0.0, (0.0, 0.0))
     model.scale = _logistic(model.decisions(bags), y)
@@ -321,8 +330,9 @@ def _scored(df: DataFrame, model: Model, schema: str | None, keep) -> DataFrame:
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, score, predicted) of every row; a null text counts as empty, and an empty one
-    has the score of no unit.  Repeated rows and null ids each get their row; other columns
-    are not read; an empty table gives an empty one.  Long texts count whole."""
+    has the score of no unit.  Repeated rows and null ids each get their row (equal texts the
+    same score); other columns are not read; an empty table gives an empty one.  Long texts
+    count whole: a text scores as its highest unit, wherever that stands."""
 
     def keep(part: pa.RecordBatch, score: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([part.column(0), pa.array(score), pa.array((score >= 0.5).astype(np.int32))], names=["doc_id", "score", "predicted"])
@@ -332,7 +342,8 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def clean(docs: DataFrame, model: Model, most: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` that score under ``most``."""
+    """The rows of ``docs`` that score under ``most``, with all their columns, whatever their
+    names.  Null and empty texts have no unit and stay; repeated rows stay or go together."""
     return _scored(docs, model, None, lambda part, score: part.filter(pa.array(score < most)))
 
 
