@@ -93,3 +93,37 @@ def test_empty_table_repeats_and_null_ids(spark):
     df = spark.createDataFrame([(5, "a b c"), (5, "a b c"), (None, "a b c"), (None, "q")], "doc_id long, text string")
     got = sorted(((r.doc_id, r.component_id) for r in S.near_duplicates(df).collect()), key=str)
     assert got == sorted([(5, 5), (5, 5), (None, 5), (None, None)], key=str)
+
+
+def kept_of(spark, rows, columns="doc_id long, text string"):
+    return sorted(map(tuple, S.keep_one(spark.createDataFrame(rows, columns)).collect()), key=str)
+
+
+def test_keep_one_keeps_every_text_of_its_own(spark):
+    a, b, c = "one two three four five", "six seven eight nine ten", "p q r s t u"
+    # an id that stands for copies of another's text and for a text of its own
+    assert kept_of(spark, [(1, a), (5, a), (5, b)]) == [(1, a), (5, b)]
+    # one id over two texts that nothing links, and a copy of either
+    assert kept_of(spark, [(5, a), (5, b), (7, a), (8, b)]) == [(5, a), (5, b)]
+    # rows without an id: of a component of their own one stays, else the one with an id
+    assert kept_of(spark, [(None, a), (None, a), (None, b), (3, b), (None, c)]) == sorted([(None, a), (3, b), (None, c)], key=str)
+    # repeated rows, and columns with the names that the work inside uses
+    rows = [(1, a, "x", 2, 3, {"k": 1})] * 3 + [(1, a, "w", 2, 3, {"k": 1}), (2, None, "x", 0, 0, None), (3, "", "y", 0, 0, None)]
+    names = "doc_id long, text string, row string, n int, times int, th map<string,int>"
+    assert kept_of(spark, rows, names) == sorted([rows[3], rows[4]], key=str)
+    assert S.keep_one(spark.createDataFrame([], names)).collect() == []
+
+
+def test_repeated_ids_join_no_texts(spark):
+    df = spark.createDataFrame([(1, "a b c d"), (2, "e f g h"), (2, "a b c d"), (3, "e f g h"), (2, "u v w x")], "doc_id long, text string")
+    got = sorted((r.doc_id, r.component_id, r.fp == S.np.int64(brute_fp("e f g h").__index__() - (1 << 64) if brute_fp("e f g h") >> 63 else brute_fp("e f g h"))) for r in S.near_duplicates(df).collect())
+    assert got == sorted([(1, 1, False), (2, 1, False), (2, 2, True), (3, 2, True), (2, 2, False)])
+
+
+def test_components_of_long_chains_and_stars(spark):
+    from voicecorpus.llm.graph import components
+
+    edges = [(i, i + 1) for i in range(70)] + [(500, i) for i in range(501, 560)] + [(900, 900), (None, 3)] + [(700, 701)] * 3
+    got = dict(map(tuple, components(spark.createDataFrame(edges, "a long, b long")).collect()))
+    want = {i: 0 for i in range(71)} | {i: 500 for i in range(500, 560)} | {700: 700, 701: 700}
+    assert got == want

@@ -5,32 +5,47 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-DEFAULT_CHECKPOINTS = "/tmp/checkpoints/voicecorpus"
+LOCAL_CHECKPOINTS = "/tmp/checkpoints/voicecorpus"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a local folder only where it is unset, as in tests."""
+    """``spark.checkpoint.dir`` of the session.  Where it is unset, a folder of this machine for
+    a local master, as in tests; on a cluster an error, as executors couldn't read that."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        named = DEFAULT_CHECKPOINTS
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir names no folder that driver and executors share")
+        named = LOCAL_CHECKPOINTS
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(named)
     return named
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder on whatever file system it is; nothing there is no error."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it from there: lineage ends, executors may go."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
-BROADCAST_ROWS = 100_000
+BROADCAST_ROWS, BROADCAST_BYTES = 100_000, 32 << 20
+_FIXED = {"boolean": 1, "byte": 1, "short": 2, "integer": 4, "float": 4, "long": 8, "double": 8, "date": 4, "timestamp": 8}
 
 
-def sized(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` marked for broadcast if it has at most ``rows`` rows, counted; else as it is, for
-    a shuffled join.  For tables of a few short columns that are already written."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def sized(df: DataFrame, rows: int = BROADCAST_ROWS, most: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``rows`` rows and about ``most`` bytes, both
+    counted; else as it is, for a shuffled join.  For tables that are already written: they are
+    read up to one row past the limit."""
+    loose = [F.col(f"`{f.name}`") for f in df.schema.fields if f.dataType.typeName() not in _FIXED]
+    fixed = 16 + sum(_FIXED.get(f.dataType.typeName(), 8) for f in df.schema.fields)
+    width = sum((F.coalesce(F.length(c.cast("string")), F.lit(0)) for c in loose), F.lit(fixed)).cast("long")
+    n, size = df.limit(rows + 1).agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).first()
+    return F.broadcast(df) if n <= rows and size <= most else df
 
 
 def fold_of(doc_id: Column, folds: int) -> Column:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
-from .shared import cut
+from .shared import cut, sized
 from .textops import shingles, slices, words, xxh64
 
 SHINGLE, RADIUS, SMALL = 4, 4, 1024
@@ -53,17 +53,16 @@ def simhash(col: pa.Array, shingle: int = SHINGLE) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp long) of every row; a null text counts as empty."""
+    """(doc_id, fp long, th long) of every row; a null text counts as empty.  th is a hash of
+    the text that built-in functions give too, so that rows are found again without Python."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(simhash(b.column(1), shingle).view(np.int64))], names=["doc_id", "fp"]
-            )
+            fp = pa.array(simhash(b.column(1), shingle).view(np.int64))
+            yield pa.RecordBatch.from_arrays([b.column(0), fp, b.column(2)], names=["doc_id", "fp", "th"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        run, "doc_id long, fp long"
-    )
+    doc_id, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
+    return docs.select(doc_id.alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("th")).mapInArrow(run, "doc_id long, fp long, th long")
 
 
 def masks(radius: int = RADIUS) -> list[int]:
@@ -154,31 +153,63 @@ def links(fps: DataFrame, radius: int = RADIUS, small: int = SMALL) -> DataFrame
     return within.union(star).where("a != b").distinct()
 
 
+HOT = 1000
+
+
+def _components(docs: DataFrame, shingle: int, radius: int, small: int) -> tuple[DataFrame, DataFrame]:
+    """(fingerprints of all rows; fp, n, component_id and root of each distinct fp).  The nodes of
+    the graph are fingerprints, so no id, repeated or null, joins texts that are not linked."""
+    prints = cut(fingerprints(docs, shingle))
+    node = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("node"), F.count("*").alias("n")))
+    comp = cut(components(links(node.select("fp", F.col("fp").alias("node")), radius, small)))
+    linked = comp.select(F.col("node").alias("fp"), F.col("component").alias("root")).join(node.select("fp", "node"), "fp")
+    least = linked.groupBy("root").agg(F.min("node").alias("least"))
+    of = linked.select("fp", "root").join(least, "root")
+    named = node.join(of, "fp", "left").select("fp", "n", F.when(F.col("root").isNull(), F.col("node")).otherwise(F.col("least")).alias("component_id"), F.coalesce("root", "fp").alias("root"))
+    return prints, cut(named)
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, small: int = SMALL) -> DataFrame:
     """(doc_id, fp long, component_id) for every row of ``docs`` (doc_id, text).
 
     Null and empty texts have fingerprint zero and link as any other.  Repeated rows
-    and ids each get their row.  A row whose doc_id is null gets the component of its
-    fingerprint if a row with an id has that fingerprint, else null; it joins no
-    others.  Other columns are not read.  An empty table gives an empty one."""
-    prints = cut(fingerprints(docs, shingle))
-    node = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("node")))
-    comp = components(links(node.where("node is not null"), radius, small)).withColumnRenamed("node", "of")
-    named = node.join(comp, node.node == comp.of, "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
-
-
-def keep_one(docs: DataFrame, **kw) -> DataFrame:
-    """The rows of ``docs`` that stand for their component: its smallest doc_id, once.
-    Of rows with one doc_id the first by text (nulls first) stays; rows without an id
-    all stay, as nothing names them."""
-    from pyspark.sql import Window as W
-
-    stay = near_duplicates(docs, **kw).where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(stay, "doc_id", "left_semi")
-    first = F.row_number().over(W.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_first()))
-    one = kept.withColumn("__n", first).where("__n = 1").drop("__n")
-    return one.unionByName(docs.where("doc_id is null"))
+    and ids each get their row, with the component of its own text: the smallest doc_id
+    among the rows that its fingerprint reaches, null if none of these has an id.  Rows
+    without an id link as any other.  Other columns are not read.  An empty table gives
+    an empty one.  Fingerprints that more than a thousandth of the rows share (a thousand
+    at most) are broadcast, so no task gathers a large group of copies."""
+    prints, named = _components(docs, shingle, radius, small)
+    named = named.select("fp", "n", "component_id")
+    total = named.agg(F.sum("n")).first()[0] or 0
+    hot = named.where(F.col("n") * HOT > total)  # fewer than HOT rows, as their n sum to at most total
+    cold = prints.join(F.broadcast(hot.select("fp")), "fp", "left_anti").join(named.where(F.col("n") * HOT <= total), "fp")
+    return cold.unionByName(prints.join(F.broadcast(hot), "fp").select(cold.columns)).select("doc_id", "fp", "component_id")
+
+
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, small: int = SMALL) -> DataFrame:
+    """One row of ``docs`` for each component of linked fingerprints: that of the smallest doc_id
+    (ids before null), then of the least text hash; rows equal in both are repeats of one text
+    under one id, of which the least by all columns stays.  So every text of its own stays,
+    whatever other rows share its id, and columns of any name pass through.  Null texts are
+    empty and are one component with all other texts of fingerprint zero; an empty table gives
+    an empty one.  Ids and hashes are settled first; each text moves once at most, to meet them."""
+    prints, named = _components(docs, shingle, radius, small)
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")
+    of_text = prints.groupBy("fp", "doc_id", "th").agg(F.count("*").alias("times"))
+    of_fp = of_text.groupBy("fp").agg(F.min(F.struct(first.alias("who"), "times")).alias("c"))
+    kept = of_fp.join(named.select("fp", "root"), "fp").groupBy("root").agg(F.min("c").alias("c"))
+    kept = cut(kept.select(F.col("c.who.doc_id").alias("kept_id"), F.col("c.who.th").alias("kept_th"), F.col("c.times").alias("times")))
+    text = F.col("text").cast("string")
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("row_id"), F.xxhash64(text).alias("row_th"))
+    same = F.col("row_id").eqNullSafe(F.col("kept_id")) & (F.col("row_th") == F.col("kept_th"))
+    single = rows.join(kept.where("times = 1"), same, "left_semi")
+    again = kept.where("times > 1")
+    if again.isEmpty():
+        return single.select("row.*")
+    again = sized(again)
+    # repeats are folded in partial steps, so a row that stands a million times is no task's burden
+    one = rows.join(again, same, "left_semi").groupBy("row_id", "row_th").agg(F.min_by("row", F.to_json("row")).alias("row"))
+    return single.select("row.*").unionByName(one.select("row.*"))
 
 
 def op3_simhash(spark, sf_dir: str) -> DataFrame:
