@@ -3,10 +3,11 @@
 Each language has probabilities for the pieces of one fixed public vocabulary, learnt by
 expectation-maximisation.  A word's probability in a language is the sum, by a forward
 algorithm, of the products of its pieces' probabilities over all its segmentations; a
-text's is the product over its words.  Words are lower-cased runs of letters with the
-vocabulary's mark of a word's begin before them; a run above ``LONGEST`` letters is scored
-in parts of that length.  A letter that is no piece counts as one of a small fixed
-probability, the same in each language.
+text's is the product over its words.  Words are lower-cased runs of letters of any length,
+with the vocabulary's mark of a word's begin before them: the forward algorithm keeps the
+places that a piece can still reach and scales them as it goes, so a run without a blank is
+summed over all its segmentations too.  A letter that is no piece counts as one of a small
+fixed probability, the same in each language.
 """
 
 from __future__ import annotations
@@ -20,16 +21,31 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import fold_of
+from .shared import cut, fold_of, sized
 
-VOCABULARY, SAMPLE, ROUNDS, FOLDS, LONGEST, UNKNOWN = "piece_bpe_32k.model", 600, 4, 5, 40, 1e-8
-MIN_SCORE = 0.4
-_LONG = re.compile(rf"[^\W\d_]{{1,{LONGEST}}}")
-_CACHE_WORDS = 250_000
+VOCABULARY, ROUNDS, FOLDS, UNKNOWN, MIN_SCORE = "piece_bpe_32k.model", 4, 5, 1e-8, 0.4
+#: Bounds of what is learnt from: documents of each language, letters of all languages together
+#: (shared evenly, but some ``LEAST`` documents of each in any case), and languages.
+SAMPLE, SAMPLE_CHARS, LEAST, LANGUAGES = 600, 16_000_000, 8, 1000
+_LETTERS = re.compile(r"[^\W\d_]+")
+_CACHE_WORDS, _CACHE_CELLS, _BATCH_CELLS, _RESCALE = 250_000, 8_000_000, 2_000_000, 8
 
 
 def words_of(text: str | None) -> list[str]:
-    return _LONG.findall((text or "").lower())
+    return _LETTERS.findall((text or "").lower())
+
+
+def _batches(words: list[str], langs: int, longest: int) -> Iterator[list[str]]:
+    """Words, shortest first, in batches whose tables stay within a few dozen megabytes."""
+    order = sorted(words, key=lambda w: (len(w), w))
+    lo = 0
+    while lo < len(order):
+        hi = lo + 1
+        room = min(8192, max(1, _BATCH_CELLS // ((longest + 1) * langs)))
+        while hi < len(order) and hi - lo < room and (hi + 1 - lo) * (len(order[hi]) + 1) <= _BATCH_CELLS:
+            hi += 1
+        yield order[lo:hi]
+        lo = hi
 
 
 class Pieces:
@@ -57,6 +73,7 @@ class Pieces:
             at[0] = len(self.names)
             self.names.append(p)
         self.size = len(self.names)
+        self.longest = max(map(len, self.names), default=1)
         nodes, rows, piece = [root], [], []
         for at in nodes:  # grows as it runs
             row = np.full(len(number) + 1, -1, np.int32)
@@ -100,14 +117,63 @@ class Pieces:
 
 
 def forward(pieces: Pieces, rows: np.ndarray, end: np.ndarray, prob: np.ndarray) -> np.ndarray:
-    """alpha (word, place, language): the sum over segmentations up to a place; ``prob``
-    (piece + 1, language)."""
-    alpha = np.zeros((len(rows), rows.shape[1] + 1, prob.shape[1]))
-    alpha[:, 0] = 1
-    for i in range(rows.shape[1]):
+    """(word, language): log of the sum over all segmentations; ``prob`` (piece + 1, language).
+
+    A ring holds the places from the present one to the farthest that a piece reaches, and
+    every few places it is divided by the present one's sums, so words of any length neither
+    underflow nor take up memory."""
+    ring_size = pieces.longest + 1
+    ring = np.zeros((len(rows), ring_size, prob.shape[1]))
+    ring[:, 0] = 1
+    scale, out = np.zeros((len(rows), prob.shape[1])), np.zeros((len(rows), prob.shape[1]))
+    for i in range(rows.shape[1] + 1):
+        at = i % ring_size
+        done = np.flatnonzero(end == i)
+        if len(done):
+            out[done] = scale[done] + np.log(ring[done, at])
+        if i and i % _RESCALE == 0:
+            live = np.flatnonzero(end > i)
+            now = ring[live, at]
+            ring[live] /= now[:, None]
+            scale[live] += np.log(now)
         for w, j, p in pieces.walk(rows, i, end):
-            alpha[w, j] += alpha[w, i] * prob[p]
-    return alpha
+            ring[w, j % ring_size] += ring[w, at] * prob[p]
+        ring[:, at] = 0
+    return out
+
+
+def expected(pieces: Pieces, rows: np.ndarray, end: np.ndarray, p: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """How often each piece is expected over the segmentations of words that stand ``times`` each."""
+    n, reach = rows.shape[1], pieces.longest + 1
+    alpha = np.zeros((len(rows), n + 1))
+    alpha[:, 0] = 1
+    log_alpha, scale = np.zeros((len(rows), n + 1)), np.zeros(len(rows))
+
+    def rescale(table: np.ndarray, i: int) -> None:
+        now = np.where(table[:, i] > 0, table[:, i], 1.0)
+        table[:, i : i + reach] /= now[:, None]
+        scale[:] += np.log(now)
+
+    for i in range(n + 1):
+        log_alpha[:, i] = scale + np.log(np.where(alpha[:, i] > 0, alpha[:, i], 1.0))
+        if i and i % _RESCALE == 0:
+            rescale(alpha, i)
+        for w, j, q in pieces.walk(rows, i, end):
+            alpha[w, j] += alpha[w, i] * p[q]
+    total = log_alpha[np.arange(len(end)), end]
+    beta = np.zeros_like(alpha)
+    beta[np.arange(len(end)), end] = 1
+    scale[:] = 0
+    seen = np.zeros(pieces.size + 1)
+    for i in range(n - 1, -1, -1):
+        here = np.exp(log_alpha[:, i] + scale - total) * times
+        for w, j, q in pieces.walk(rows, i, end):
+            way = p[q] * beta[w, j]
+            beta[w, i] += way
+            seen += np.bincount(q, here[w] * way, pieces.size + 1)
+        if i % _RESCALE == 0:
+            rescale(beta, i)
+    return seen
 
 
 class Model:
@@ -116,23 +182,21 @@ class Model:
     def __init__(self, langs: list[str], prob: np.ndarray, pieces: Pieces):
         self.langs, self.prob, self.pieces = langs, prob, pieces
         self.known: dict[str, int] = {}
-        self.rows = np.zeros((1024, len(langs)))
+        self.room = max(1, min(_CACHE_WORDS, _CACHE_CELLS // max(1, len(langs))))
+        self.rows = np.zeros((min(1024, self.room), len(langs)))
 
     def rows_of(self, words: list[str]) -> np.ndarray:
-        """Each word's log probability in each language."""
+        """Each word's log probability in each language, for at most ``room`` words."""
         new = {w for w in words if w not in self.known}
-        if len(self.known) + len(new) > _CACHE_WORDS:
+        if len(self.known) + len(new) > self.room:
             self.known = {}
             new = set(words)
-        new = sorted(new, key=len)
-        for lo in range(0, len(new), 8192):
-            part = new[lo : lo + 8192]
-            end = np.fromiter(map(len, part), np.int64, len(part)) + 1
-            alpha = forward(self.pieces, self.pieces.numbers(part), end, self.prob)
+        for part in _batches(list(new), max(1, len(self.langs)), self.pieces.longest):
             base = len(self.known)
             if base + len(part) > len(self.rows):
                 self.rows = np.concatenate((self.rows, np.zeros((max(len(part), len(self.rows)), len(self.langs)))))
-            self.rows[base : base + len(part)] = np.log(np.maximum(alpha[np.arange(len(part)), end], 1e-300))
+            end = np.fromiter(map(len, part), np.int64, len(part)) + 1
+            self.rows[base : base + len(part)] = forward(self.pieces, self.pieces.numbers(part), end, self.prob)
             self.known.update(zip(part, range(base, base + len(part)), strict=True))
         return self.rows[np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))]
 
@@ -148,8 +212,8 @@ class Model:
                 lo += 1
             n = np.diff(at)
             total = np.zeros((len(n), len(self.langs)))
-            for a in range(0, len(flat), 200_000):  # one text may have any number of words
-                part = flat[a : a + 200_000]
+            for a in range(0, len(flat), self.room):  # one text may have any number of words
+                part = flat[a : a + self.room]
                 row = np.searchsorted(at, np.arange(a, a + len(part)), "right") - 1
                 np.add.at(total, row, self.rows_of(part))
             logit = total * (np.minimum(n, 10) / np.maximum(n, 1))[:, None]
@@ -172,48 +236,43 @@ def learn(texts: list[str], langs: list[str], rounds: int = ROUNDS, path: str |
     for t, lang in zip(texts, langs, strict=True):
         counts[lang].update(words_of(t))
     pieces = Pieces("".join({c for count in counts.values() for w in count for c in w}), path)
-    prob = np.zeros((pieces.size + 1, len(names)))
+    prob = np.zeros((pieces.size + 1, len(names)), np.float32)
     for k, name in enumerate(names):
-        words = sorted(counts[name], key=lambda w: (len(w), w))
-        n = np.array([counts[name][w] for w in words], float)
-        parts = [(n[lo : lo + 8192], pieces.numbers(words[lo : lo + 8192]), np.array([len(w) + 1 for w in words[lo : lo + 8192]])) for lo in range(0, len(words), 8192)]
+        parts = []
+        for part in _batches(list(counts[name]), 1, pieces.longest):
+            n = np.array([counts[name][w] for w in part], float)
+            parts.append((pieces.numbers(part), np.array([len(w) + 1 for w in part]), n))
         p = np.full(pieces.size + 1, 1 / max(1, pieces.size))
         for _ in range(rounds):
             p[-1] = UNKNOWN
-            seen = np.zeros(pieces.size + 1)
-            for m, rows, end in parts:
-                alpha = forward(pieces, rows, end, p[:, None])[:, :, 0]
-                total = np.maximum(alpha[np.arange(len(end)), end], 1e-300)
-                beta = np.zeros_like(alpha)
-                beta[np.arange(len(end)), end] = 1
-                for i in range(rows.shape[1] - 1, -1, -1):
-                    for w, j, q in pieces.walk(rows, i, end):
-                        way = p[q] * beta[w, j]
-                        beta[w, i] += way
-                        seen += np.bincount(q, alpha[w, i] * way / total[w] * m[w], pieces.size + 1)
+            seen = sum((expected(pieces, rows, end, p, n) for rows, end, n in parts), np.zeros(pieces.size + 1))
             p = (seen + smooth / max(1, pieces.size)) / (seen[:-1].sum() + smooth)
         p[-1] = UNKNOWN
         prob[:, k] = p
     return Model(names, prob, pieces)
 
 
-def sample(docs: DataFrame, per_lang: int = SAMPLE, folds: int = FOLDS, held: bool = False) -> list:
-    """(text, lang) rows to learn from: about ``per_lang`` whole documents of each language,
-    drawn by a hash of doc_id, out of those in no held-out fold.  ``per_lang`` (with twice as
-    many for all languages together as a hard limit) bounds what comes to the driver."""
+def sample(docs: DataFrame, per_lang: int = SAMPLE, chars: int = SAMPLE_CHARS, languages: int = LANGUAGES, folds: int = FOLDS) -> list:
+    """(text, lang) rows to learn from: about ``per_lang`` whole documents of each language, drawn
+    by a hash of doc_id, out of those in no held-out fold.
+
+    What comes to the driver is bounded in letters too: about ``chars`` in all, an even share
+    for each language, but some ``LEAST`` documents of each however long they are.  Every
+    language is learnt up to ``languages`` of them, the most frequent ones beyond (documents
+    of others still get a prediction).  Rows with null text, lang or doc_id are left out."""
     train = docs.where("lang is not null and text is not null and doc_id is not null").where(fold_of(F.col("doc_id"), folds) != 0)
-    counts = train.groupBy("lang").agg(F.count("*").alias("n"))
-    known = {r.lang: r.n for r in counts.orderBy(F.desc("n"), "lang").limit(500).collect()}
+    counts = train.groupBy("lang").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("c"))
+    known = cut(counts.orderBy(F.desc("n"), "lang").limit(languages))
+    share = chars / max(1, known.count())
+    rate = F.least(F.lit(1.0), per_lang / F.col("n"), F.greatest(LEAST / F.col("n"), share / F.greatest("c", F.lit(1))))
     u = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 30)) / float(1 << 30)
-    pick = F.lit(False)
-    for lang, n in known.items():
-        pick = pick | ((F.col("lang") == lang) & (u < min(1.0, per_lang / n)))
-    return train.where(pick).select("text", "lang").limit(2 * per_lang * max(1, len(known))).collect()
+    picked = train.select("doc_id", "text", "lang").join(sized(known.select("lang", rate.alias("rate"))), "lang").where(u < F.col("rate"))
+    return picked.select("text", "lang").collect()
 
 
 def train(docs: DataFrame, per_lang: int = SAMPLE, **kw) -> Model:
-    rows = sample(docs, per_lang)
-    return learn([r.text for r in rows], [r.lang for r in rows], **kw)
+    rows = sorted((r.text, r.lang) for r in sample(docs, per_lang))
+    return learn([t for t, _ in rows], [x for _, x in rows], **kw)
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
@@ -233,9 +292,14 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     return d.mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
-def keep(docs: DataFrame, model: Model, min_score: float = MIN_SCORE) -> DataFrame:
-    """The rows of ``docs`` whose text is in a learnt language (score at least ``min_score``)."""
+def keep(docs: DataFrame, model: Model, min_score: float = MIN_SCORE, languages: set[str] | None = None) -> DataFrame:
+    """The rows of ``docs`` whose text is in a learnt language (one of ``languages``, if given)
+    with a score of at least ``min_score``.  ``lang``, if there and text, becomes the language
+    that was found, so it holds for rows that had none or a wrong one; all other columns pass
+    as they are, whatever their names.  Null texts and texts without a letter go; repeated
+    rows stay or go together; an empty table gives an empty one."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    marks = "lang" in docs.columns and docs.schema["lang"].dataType.typeName() == "string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
@@ -244,7 +308,10 @@ def keep(docs: DataFrame, model: Model, min_score: float = MIN_SCORE) -> DataFra
             for lo in range(0, b.num_rows, 1024):
                 part = b.slice(lo, 1024)
                 lang, score = m.score(part.column(at).to_pylist())
-                yield part.filter(pa.array([x != "und" and s >= min_score for x, s in zip(lang, score, strict=True)]))
+                if marks:
+                    i = part.schema.get_field_index("lang")
+                    part = part.set_column(i, part.schema.field(i), pa.array(lang, part.schema.field(i).type))
+                yield part.filter(pa.array([x != "und" and s >= min_score and (languages is None or x in languages) for x, s in zip(lang, score, strict=True)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 
