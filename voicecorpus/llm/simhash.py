@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
-from .shared import cut, sized
+from .shared import cut, join_counted, sized
 from .textops import shingles, slices, words, xxh64
 
 SHINGLE, RADIUS, SMALL = 4, 4, 1024
@@ -153,9 +153,6 @@ def links(fps: DataFrame, radius: int = RADIUS, small: int = SMALL) -> DataFrame
     return within.union(star).where("a != b").distinct()
 
 
-HOT = 1000
-
-
 def _components(docs: DataFrame, shingle: int, radius: int, small: int) -> tuple[DataFrame, DataFrame]:
     """(fingerprints of all rows; fp, n, component_id and root of each distinct fp).  The nodes of
     the graph are fingerprints, so no id, repeated or null, joins texts that are not linked."""
@@ -179,11 +176,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     an empty one.  Fingerprints that more than a thousandth of the rows share (a thousand
     at most) are broadcast, so no task gathers a large group of copies."""
     prints, named = _components(docs, shingle, radius, small)
-    named = named.select("fp", "n", "component_id")
-    total = named.agg(F.sum("n")).first()[0] or 0
-    hot = named.where(F.col("n") * HOT > total)  # fewer than HOT rows, as their n sum to at most total
-    cold = prints.join(F.broadcast(hot.select("fp")), "fp", "left_anti").join(named.where(F.col("n") * HOT <= total), "fp")
-    return cold.unionByName(prints.join(F.broadcast(hot), "fp").select(cold.columns)).select("doc_id", "fp", "component_id")
+    return join_counted(prints, named.select("fp", "n", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, small: int = SMALL) -> DataFrame:
