@@ -75,3 +75,20 @@ def test_edges(spark):
     assert r.near_next == 1.0
     two = spark.createDataFrame([(None, "x"), (1, "y"), (1, "y"), (None, None)], "doc_id long, text string")
     assert sorted((r.n_chars, r.near_next) for r in B.compare_neighbours(two, parts=2).collect()) == [(0, 0.0), (1, 0.0), (1, 0.0), (1, 1.0)]
+
+
+@pytest.mark.parametrize("parts", [1, 9])
+def test_hot_and_missing_ids_are_cut_by_text(spark, parts):
+    rng = np.random.default_rng(6)
+    t = lambda: " ".join(f"q{x}" for x in rng.integers(0, 300, 40))
+    data = [(None, t()) for _ in range(60)] + [(77, t()) for _ in range(90)] + [(i, t()) for i in range(40, 110)] + [(77, "same"), (77, "same")]
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(4)
+    th = lambda s: xxhash.xxh64_intdigest(s.encode(), 42) >> 11
+    order = sorted(data, key=lambda r: (r[0] is not None, r[0] or 0, th(r[1]), r[1]))
+    want = []
+    for i, (d, s) in enumerate(order):
+        nxt = order[(i + 1) % len(order)][1]
+        e = s[: len(s) - len(s) // 2] + nxt[: len(s) // 2]
+        want.append((d, hashlib.sha256(e.encode()).hexdigest()))
+    got = B.compare_neighbours(df, parts=parts)
+    assert sorted(((r.doc_id, r.edited_sha256) for r in got.collect()), key=str) == sorted(want, key=str)

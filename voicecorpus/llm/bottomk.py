@@ -10,14 +10,17 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .shared import cut, sized
 from .textops import shingles, slices, words, xxh64
 
 SHINGLE, K = 5, 128
@@ -152,41 +155,69 @@ def _compare(k: int, shingle: int):
     return run
 
 
+PART_BYTES, MANY_PARTS, LARGE_PART = 16 << 20, 1024, 128 << 20
+
+
+def _cuts(bounds: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, how many cuts stand there) of the parts' lower bounds, in order.  ``bounds``: quantiles
+    of the ids; an id so frequent that several fall on it is cut at as many even shares of its
+    text hashes."""
+    at: Counter = Counter(bounds)
+    for v, m in list(at.items()):
+        if m > 1 and v + 1 not in at and v < np.iinfo(np.int64).max:
+            at[v + 1] = 1  # where the frequent id ends
+    ids = np.array(sorted(at), np.int64)
+    return ids, np.array([at[i] for i in ids.tolist()], np.int64)
+
+
 def compare_neighbours(docs: DataFrame, k: int = K, shingle: int = SHINGLE, parts: int | None = None) -> DataFrame:
     """Sketch each text and its edited text, and compare each with the next document.
 
     The edited text of n code points has its last n//2 replaced by the first as many (or
-    all) of the next document by (doc_id, text), nulls first; the last one's next is the
-    first, so a single document is its own.  Null texts are empty.  Repeated rows and ids
-    follow one another; other columns are not read; an empty table gives an empty one.
-
-    Documents are dealt to ranges of doc_id whose bounds are quantiles; each range also
-    gets a copy of the document after it, so no window spans the table and a task reads
-    its range once, holding a slice of a batch."""
+    all) of the next document by (doc_id, a hash of the text, text), nulls first; the last
+    one's next is the first, so a single document is its own.  Null texts are empty.
+    Repeated rows and ids follow one another; other columns are not read; an empty table
+    gives an empty one.
+
+    Documents are dealt to ranges of (doc_id, hash), as many as their counted bytes ask for,
+    with quantiles of the ids as bounds, and each range is a task.  An id, or none, that many
+    rows have is cut by the hash.  Each range also gets a copy of the document after it, so no
+    window spans the table and a task reads its range once, holding a slice of a batch.  Of
+    the ranges the driver holds the bounds alone."""
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    n = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bounds = docs.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 100 * n)).first()[0] if n > 1 else None
-    bounds = np.unique(np.array(bounds or [], np.int64))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.shiftrightunsigned(F.xxhash64(text), 11).alias("th"), text.alias("text"))
+    rows, missing, size = docs.agg(F.count("*"), F.count_if(F.col("doc_id").isNull()), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    if not rows:
+        return spark.createDataFrame([], RESULT)
+    n = parts or max(1, -(-size // min(max(PART_BYTES, size // MANY_PARTS), LARGE_PART)))
+    bounds = docs.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], min(100 * n, 1_000_000))).first()[0] if n > 1 else None
+    for_null = max(1, round(n * missing / rows)) if missing else 0
+    ids, times = _cuts(bounds or [])
+    upto = np.concatenate(([0], np.cumsum(times)))
+    total = for_null + int(upto[-1]) + 1
 
     @F.pandas_udf("int")
-    def part_of(doc_id: pd.Series) -> pd.Series:
-        at = np.searchsorted(bounds, doc_id.fillna(0).to_numpy(np.int64), "right")
-        return pd.Series(np.where(doc_id.isna(), 0, at).astype(np.int32))
-
-    dealt = docs.withColumn("part", part_of("doc_id")).withColumn("ghost", F.lit(0)).select("part", "ghost", "doc_id", "text")
-    least = docs.select("doc_id").withColumn("part", part_of("doc_id")).groupBy("part").agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("some"), "doc_id"))["doc_id"].alias("doc_id"))
-    firsts = sorted(((r.part, r.doc_id) for r in least.collect()), key=lambda r: r[0])  # one row for each part
-    if not firsts:
-        return spark.createDataFrame([], RESULT)
-    before = {firsts[i][0]: firsts[i - 1][0] for i in range(len(firsts))}  # the part that ends before; the last for the first
-    ids = [d for _, d in firsts if d is not None]
-    heads = docs.where(F.col("doc_id").isin(ids) | F.col("doc_id").isNull()) if firsts[0][1] is None else docs.where(F.col("doc_id").isin(ids))
-    heads = heads.withColumn("part", part_of("doc_id")).groupBy("part").agg(F.min(F.struct("doc_id", "text")).alias("d"))
-    back = F.create_map(*[F.lit(x) for kv in before.items() for x in kv])
-    ghosts = heads.select(back[F.col("part")].cast("int").alias("part"), F.lit(1).alias("ghost"), "d.doc_id", "d.text")
-    placed = dealt.unionByName(ghosts).repartition(n, "part").sortWithinPartitions("part", "ghost", "doc_id", "text")
-    return placed.mapInArrow(_compare(k, shingle), RESULT)
+    def part_of(doc_id: pd.Series, th: pd.Series) -> pd.Series:
+        u = th.to_numpy(np.int64) / float(1 << 53)
+        one = doc_id.fillna(0).to_numpy(np.int64)
+        i = np.searchsorted(ids, one, "left")
+        on = (i < len(ids)) & (ids[np.minimum(i, len(ids) - 1)] == one) if len(ids) else np.zeros(len(one), bool)
+        m = times[np.minimum(i, len(ids) - 1)] if len(ids) else np.ones(len(one), np.int64)
+        at = upto[i] + np.where(on, np.minimum((u * m).astype(np.int64), m - 1) + 1, 0) + for_null
+        return pd.Series(np.where(doc_id.isna(), np.minimum((u * for_null).astype(np.int64), max(0, for_null - 1)), at).astype(np.int32))
+
+    placed = docs.withColumn("part", part_of("doc_id", "th"))
+    key = F.struct(F.col("doc_id").isNotNull().alias("some"), "doc_id", "th")
+    firsts = cut(placed.groupBy("part").agg(F.min(key).alias("f")).select("part", "f.doc_id", "f.th"))
+    order = W.orderBy("part")  # one row for each part
+    firsts = firsts.withColumn("back", F.coalesce(F.lag("part").over(order), F.max("part").over(order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))))
+    f = sized(firsts.select(F.col("part").alias("p"), F.col("doc_id").alias("i"), F.col("th").alias("t"), "back"))
+    heads = placed.join(f, (F.col("part") == F.col("p")) & F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("th") == F.col("t")))
+    ghosts = heads.groupBy("back", "doc_id").agg(F.min("text").alias("text")).select(F.col("back").alias("part"), F.lit(1).alias("ghost"), "doc_id", F.lit(0).cast("long").alias("th"), "text")
+    both = placed.select("part", F.lit(0).alias("ghost"), "doc_id", "th", "text").unionByName(ghosts)
+    each = both.repartitionById(total, "part").sortWithinPartitions("part", "ghost", "doc_id", "th", "text")
+    return each.select("part", "ghost", "doc_id", "text").mapInArrow(_compare(k, shingle), RESULT)
 
 
 def op8_fingerprints(spark, sf_dir: str) -> DataFrame:
