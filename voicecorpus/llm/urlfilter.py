@@ -16,8 +16,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import cut, sized
+
 RULES = (("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/"))
 LISTED_LABELS = ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm")
+LISTED_WORDS = ("idiot", "moron", "scum", "trash")
 KEYS_PER_BLOCK, MAX_BLOCKS = 16, 1 << 17
 _SALTS = (0x47B6137B, 0x44974D91, 0x8824AD5B, 0xA2B7289D, 0x705495C7, 0x2DF1424B, 0x9EFC4947, 0x5C6BFB31)
 _PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
@@ -70,9 +73,11 @@ def judge(pages: DataFrame, listed: DataFrame, rules: Sequence[tuple[str, str, s
 
     ``listed``: one column curl of canonical URLs to block; nulls and repeats are allowed.
     A null url, or one without ://, has an empty host and path, fits no rule and is
-    allowed.  Repeated rows stay; other columns are not read; empty tables give empty ones."""
+    allowed.  A URL is listed or not by itself: neither its host nor a part of its path
+    decides.  Repeated rows and rows with a null page_id each get their row; URLs of any
+    length count whole; other columns are not read; empty tables give empty ones."""
     url = F.col("url").cast("string")
-    listed = listed.select("curl").where("curl is not null").distinct()
+    listed = cut(listed.select("curl").where("curl is not null").distinct())
     table, n = bloom(listed, listed.count())
     d = pages.select("page_id", host_of(url).alias("host"), path_of(url).alias("path"))
     d = d.withColumn("rule", _rule(F.col("host"), F.col("path"), rules, lambda v, h, p: h + p))
@@ -86,21 +91,24 @@ def judge(pages: DataFrame, listed: DataFrame, rules: Sequence[tuple[str, str, s
     d = d.withColumn("hit", hit).select("page_id", "host", "path", "rule", "verdict", "curl", "hit")
     out = ["page_id", "host", "path", "rule"]
     clear = d.where("not hit").select(*out, F.coalesce("verdict", F.lit("allow")).alias("verdict"))
-    known = listed.withColumn("found", F.lit(True))
+    known = sized(listed).withColumn("found", F.lit(True))
     maybe = d.where("hit").join(known, "curl", "left").select(*out, F.when(F.col("found"), "block").otherwise("allow").alias("verdict"))
     return clear.unionByName(maybe)
 
 
-def listed_urls(pages: DataFrame, labels: Sequence[str] = LISTED_LABELS) -> DataFrame:
-    """curl: the canonical URLs of ``pages`` on hosts that have one of ``labels``."""
+def listed_urls(pages: DataFrame, labels: Sequence[str] = LISTED_LABELS, words: Sequence[str] = LISTED_WORDS) -> DataFrame:
+    """curl: the canonical URLs of ``pages`` (url, html) on hosts that have one of ``labels``, and of
+    those whose html has one of ``words``: a stand-in for a list of reported pages.  Null url or
+    html, and URLs without a host, report nothing."""
     host = host_of(F.col("url"))
     on = F.arrays_overlap(F.split(host, r"\."), F.array(*[F.lit(x) for x in labels]))
-    return pages.where(on).select(canonical(host, path_of(F.col("url"))).alias("curl"))
+    said = F.coalesce(F.col("html").rlike(f"(?i)(^|[^A-Za-z])({'|'.join(words)})([^A-Za-z]|$)"), F.lit(False))
+    return pages.where(on | said).select(canonical(host, path_of(F.col("url"))).alias("curl"))
 
 
 def op6_url_filter(spark, sf_dir: str) -> DataFrame:
-    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
-    return judge(pages, listed_urls(pages))
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return judge(pages.select("page_id", "url"), listed_urls(pages.select("url", "html")))
 
 
 def _sql_rule(value) -> str:
@@ -113,8 +121,9 @@ def _sql_rule(value) -> str:
 
 ORACLE_SQL = rf"""WITH u AS (SELECT page_id,
   coalesce(translate(regexp_extract(url, '{_PARTS}', 1), '{string.ascii_uppercase}', '{string.ascii_lowercase}'), '') AS host,
-  coalesce(regexp_extract(url, '{_PARTS}', 2), '') AS path FROM pages),
+  coalesce(regexp_extract(url, '{_PARTS}', 2), '') AS path, html FROM pages),
 c AS (SELECT *, CASE WHEN host <> '' THEN regexp_replace(host, '^www\.', '') || regexp_replace(path, '/$', '') END AS curl FROM u),
-listed AS (SELECT DISTINCT curl FROM c WHERE list_has_any(string_split(host, '.'), [{', '.join(f"'{x}'" for x in LISTED_LABELS)}]))
+listed AS (SELECT DISTINCT curl FROM c WHERE list_has_any(string_split(host, '.'), [{', '.join(f"'{x}'" for x in LISTED_LABELS)}])
+  OR coalesce(regexp_matches(html, '(?i)(^|[^A-Za-z])({'|'.join(LISTED_WORDS)})([^A-Za-z]|$)'), false))
 SELECT page_id, host, path, {_sql_rule(lambda v, h, p: h + p)} AS rule,
   coalesce({_sql_rule(lambda v, h, p: v)}, CASE WHEN curl IN (SELECT curl FROM listed WHERE curl IS NOT NULL) THEN 'block' ELSE 'allow' END) AS verdict FROM c"""
