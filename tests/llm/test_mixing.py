@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from voicecorpus.llm import mixing as M
 
@@ -65,19 +66,56 @@ def test_mix_rows_hold_what_is_taken(spark):
     assert M.mix(df, block_docs=8).columns == df.columns
 
 
-def test_tree_splits_exactly_and_evenly(spark):
-    draws = spark.createDataFrame([("a", 1000), ("b", 10), ("c", 333)], "s string, d long")
+@pytest.mark.parametrize("more", [0, 200])
+def test_tree_splits_exactly_and_evenly(spark, more):
+    d = {"a": 1000, "b": 10, "c": 333} | {f"s{j:03d}": 7 for j in range(more)}  # more than a row's worth of sources
+    draws = spark.createDataFrame([(s, i, n) for i, (s, n) in enumerate(d.items())], "s string, i long, d long")
     rows = M.split_tree(draws, 3).collect()
     by, shard = Counter(), Counter()
     for r in rows:
-        assert r.d >= 0
+        assert r.d > 0
         by[r.s] += r.d
         shard[r.shard] += r.d
-    assert by == {"a": 1000, "b": 10, "c": 333}
-    assert len(shard) == 8 and max(shard.values()) - min(shard.values()) <= 1
+    assert by == d
+    assert set(shard) == set(range(8)) and max(shard.values()) - min(shard.values()) <= 1
     assert 95 < min(r.d for r in rows if r.s == "a") and max(r.d for r in rows if r.s == "a") < 155
 
 
+@pytest.mark.parametrize("block_docs", [1024, 8])
+def test_plan_matches_sql(spark, block_docs):
+    import duckdb
+
+    rows = [r for r in ROWS if r[0] is not None] + [(None, f"u v {i}", "hot") for i in range(30)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, source VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?)", rows)
+    want = Counter(con.execute("SELECT doc_id, size, source_size, taken, shards FROM (" + M.oracle_sql(block_docs) + ")").fetchall())
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    got = Counter((r.doc_id, r.size, r.source_size, r.taken, r.shards) for r in M.taken(df, block_docs=block_docs).collect())
+    assert got == want and len({x.split(":")[1] for r in got for x in r[4].split(",") if x}) == 8
+
+
+def test_running_sums_by_spans(spark):
+    rows = [(k, b, (b * 7 + 3) % 11) for k in "xy" for b in range(100)]
+    d = spark.createDataFrame(rows, "k string, b long, v long").repartition(4)
+    got = {(r.k, r.b): r.before for r in M._before(d, F.floor(F.col("b") / 8), ["b"], F.col("v")).collect()}
+    assert got == {(k, b): sum(w for l, c, w in rows if l == k and c < b) for k, b, _ in rows}
+
+
+def test_texts_of_one_id_and_clashing_names(spark):
+    names = "doc_id long, text string, source string, row string, k int, size string, h int, words int, copies string, c int, w int, o int, b int"
+    rows = [(1, f"w{i} x y", "a", "r", 1, "s", 2, 3, "c", 4, 5, 6, 7) for i in range(9)] + [(2, "long " * 200_000, "b", *rows_tail())]
+    df = spark.createDataFrame(rows, names)
+    out = [M.mix(d).collect() for d in (df, df.repartition(6))]
+    assert M.mix(df).columns == df.columns
+    assert Counter(map(tuple, out[0])) == Counter(map(tuple, out[1]))
+    assert all(r.k == 1 and r.size == "s" and r.copies == "c" for r in out[0])
+
+
+def rows_tail():
+    return "r", 1, "s", 2, 3, "c", 4, 5, 6, 7
+
+
 def test_hypergeometric_draw_has_its_distribution(spark):
     u = "((id + 0.5D) / 20000D)"
     got = Counter(r.x for r in spark.range(20000).selectExpr(f"{M._hyper('7L', '20L', '9L', u)} as x").collect())

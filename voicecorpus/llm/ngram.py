@@ -7,15 +7,19 @@ one compressed block of sorted keys and counts, not a row for each n-gram.
 Trie.  Level 2 has, for each word, its successors; level 3, for each pair (w1, w2), its own,
 each written as its place among the successors of w2 (context-relative), which is a far
 smaller number than a word's.  Both levels are Elias-Fano sequences, as are the monotone
-pointers to ranges of children and the bases that make level 3 monotone.  Files are sharded
-by w1 (level 2) and by ranges of a shard's pairs (level 3), so no shard holds more than a
-bounded number of contexts, and lie in the shared folder; workers memory-map them, or fetch
-them once to their own disk where the shared folder is no mounted file system.
-
-Probabilities.  Interpolated absolute discounting with the three discounts of modified
-Kneser-Ney, estimated from all counts of counts; the unigram level is the add-0.1 estimate
-with one unknown word.  They are quantised to 8 bits by a codebook of each shard, as are the
-contexts' back-off weights.
+pointers to ranges of children and the bases that make level 3 monotone.  Shards are cut
+by w1 (level 2) and by ranges of a shard's pairs (level 3), so none holds more than a
+bounded number of contexts.  A shard is two files in the shared folder, its sequences and its
+probabilities; workers memory-map them, or, where the folder is no mounted file system, hold
+a bounded number of bytes of them in memory.  Raw counts lie in a folder of their own that
+the driver deletes when the last task that reads them is done, so every task may run twice.
+
+Probabilities.  Interpolated absolute discounting by Kneser and Ney's one discount,
+n1 / (n1 + 2 n2), estimated at each order from all counts of counts; the unigram level is the
+add-0.1 estimate with one unknown word.  They are quantised to 8 bits by a codebook of each
+shard, as are the contexts' back-off weights.  (Modified Kneser-Ney's discounts for counts
+of two and more take what stands twice for chance, and gave repeated texts less than single
+ones, which is wrong where documents are copied.)
 
 Scoring.  Each task reads its documents once and looks up all n-grams of a slice together;
 nothing is shuffled.
@@ -23,12 +27,12 @@ nothing is shuffled.
 
 from __future__ import annotations
 
+import json
+import mmap
 import os
-import shutil
-import tempfile
 import uuid
+from collections import OrderedDict
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 from urllib.parse import urlparse
 
 import numpy as np
@@ -38,10 +42,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .eliasfano import EliasFano
-from .shared import fold_of, shared_dir
+from .shared import cut, fold_of, remove, shared_dir
 from .textops import slices, words, xxh64
 
-FOLDS, ADD, SHARD_KEYS, CHUNK_BITS, SLICE, HELD_KEYS = 10, 0.1, 1_000_000, 19, 6 << 20, 2_000_000
+FOLDS, ADD, SHARD_KEYS, CHUNK_BITS, SLICE, HELD_KEYS = 10, 0.1, 2_000_000, 20, 6 << 20, 2_000_000
+OPEN_FILES, OPEN_BYTES = 4096, 256 << 20  # of a worker: maps of files, and bytes where they can't be mapped
 _END = np.uint64(0x9E3779B97F4A7C15)  # the end's place among the words' hashes
 
 
@@ -93,59 +98,89 @@ def _fs(folder: str):
 
 
 def _save(folder: str, name: str, arrays: dict[str, np.ndarray]) -> None:
-    """Write arrays under ``name``, whole or not at all, so a task may run twice."""
+    """Write arrays as one file, whole or not at all, so a task may run twice."""
+    head, at = {}, 0
+    for k, a in arrays.items():
+        head[k] = (a.dtype.str, len(a), at)
+        at += -(-a.nbytes // 64) * 64
+    text = json.dumps(head).encode()
+    text += b" " * (-(len(text) + 8) % 64)
     fs, path = _fs(folder)
+    part = f"{path}/.{name}.{uuid.uuid4().hex}"
     if fs is None:
         os.makedirs(path, exist_ok=True)
-        for k, a in arrays.items():
-            part = f"{path}/.{name}.{k}.{uuid.uuid4().hex}"
-            with open(part, "wb") as f:
-                np.save(f, a)
-            os.replace(part, f"{path}/{name}.{k}.npy")
-        return
-    for k, a in arrays.items():
-        with tempfile.TemporaryFile() as f, fs.open_output_stream(f"{path}/{name}.{k}.npy") as out:
-            np.save(f, a)
-            f.seek(0)
-            shutil.copyfileobj(f, out)
+    else:
+        fs.create_dir(path, recursive=True)
+    with open(part, "wb") if fs is None else fs.open_output_stream(part) as out:
+        out.write(len(text).to_bytes(8, "little") + text)
+        for a in arrays.values():
+            out.write(memoryview(np.ascontiguousarray(a)).cast("B") if len(a) else b"")
+            out.write(b"\0" * (-a.nbytes % 64))
+    if fs is None:
+        os.replace(part, f"{path}/{name}")
+    else:
+        fs.move(part, f"{path}/{name}")
 
 
-def _load(folder: str, name: str, key: str) -> np.ndarray:
-    fs, path = _fs(folder)
-    at = f"{path}/{name}.{key}.npy"
-    if fs is not None:
-        here = os.path.join(tempfile.gettempdir(), "ngram-" + os.path.basename(path))
-        os.makedirs(here, exist_ok=True)
-        at = f"{here}/{name}.{key}.npy"
-        if not os.path.exists(at):
-            part = f"{at}.{uuid.uuid4().hex}"
-            with fs.open_input_stream(f"{path}/{name}.{key}.npy") as src, open(part, "wb") as f:
-                shutil.copyfileobj(src, f)
-            os.replace(part, at)
-    return np.load(at, mmap_mode="r")
-
-
-def _drop(folder: str, name: str, key: str) -> None:
+def _map(path: str) -> mmap.mmap:
+    """A file in memory; from Python 3.13 on without holding a descriptor."""
+    with open(path, "rb") as f:
+        try:
+            return mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ, trackfd=False)
+        except TypeError:
+            return mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
+
+
+def _load(folder: str, name: str) -> tuple[dict[str, np.ndarray], int]:
+    """(arrays, bytes held) of a file."""
     fs, path = _fs(folder)
-    if fs is None:
-        if os.path.exists(f"{path}/{name}.{key}.npy"):
-            os.remove(f"{path}/{name}.{key}.npy")
-    else:
-        fs.delete_file(f"{path}/{name}.{key}.npy")
+    raw = _map(f"{path}/{name}") if fs is None else fs.open_input_file(f"{path}/{name}").read()
+    n = int.from_bytes(raw[:8], "little")
+    arrays = {k: np.frombuffer(raw, kind, size, 8 + n + at) if size else np.zeros(0, kind) for k, (kind, size, at) in json.loads(raw[8 : 8 + n]).items()}
+    return arrays, 0 if fs is None else len(raw)
+
+
+class _Files:
+    """Opened files by (folder, name), the least used of them given up; ``opens`` counts."""
+
+    def __init__(self):
+        self.held: OrderedDict = OrderedDict()
+        self.bytes = self.opens = 0
+
+    def __call__(self, folder: str, name: str) -> tuple[dict[str, np.ndarray], dict[str, EliasFano]]:
+        key = (folder, name)
+        if key in self.held:
+            self.held.move_to_end(key)
+        else:
+            arrays, size = _load(folder, name)
+            self.held[key] = (arrays, {}, size)
+            self.bytes += size
+            self.opens += 1
+            while len(self.held) > 1 and (len(self.held) > OPEN_FILES or self.bytes > OPEN_BYTES):
+                self.bytes -= self.held.popitem(last=False)[1][2]
+        return self.held[key][:2]
+
+    def clear(self) -> None:
+        self.held.clear()
+        self.bytes = 0
+
+
+_files = _Files()
 
 
 def _fielded(ef: EliasFano, of: str) -> dict[str, np.ndarray]:
     return {f"{of}_{k}": a for k, a in ef.arrays().items()}
 
 
-@lru_cache(4096)
 def _sequence(folder: str, name: str, of: str) -> EliasFano:
-    return EliasFano(*[_load(folder, name, f"{of}_{k}") for k in EliasFano.FIELDS])
+    arrays, made = _files(folder, name)
+    if of not in made:
+        made[of] = EliasFano(*[arrays[f"{of}_{k}"] for k in EliasFano.FIELDS])
+    return made[of]
 
 
-@lru_cache(8192)
 def _array(folder: str, name: str, key: str) -> np.ndarray:
-    return _load(folder, name, key)
+    return _files(folder, name)[0][key]
 
 
 def _quantise(logs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -251,7 +286,7 @@ class Trie:
         """Values of a quantised array of shards of ``kind``."""
         out = np.zeros(len(i))
         for s, at in _by(shard):
-            out[at] = _array(self.folder, f"{kind}{s}", f"{what}_book")[_array(self.folder, f"{kind}{s}", what)[i[at]]]
+            out[at] = _array(self.folder, f"{kind}{s}.p", f"{what}_book")[_array(self.folder, f"{kind}{s}.p", what)[i[at]]]
         return out
 
     def logs(self, w: np.ndarray, c: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -277,7 +312,7 @@ class Trie:
                 continue
             key = f"triples{name[0]}_{name[1]}"
             local = ctx[rows] % chunk
-            out[rows] = _array(self.folder, key, "back_book")[_array(self.folder, key, "back")[local]]
+            out[rows] = _array(self.folder, f"{key}.p", "back_book")[_array(self.folder, f"{key}.p", "back")[local]]
             seen = np.flatnonzero(rank[rows] >= 0)
             if not len(seen):
                 continue
@@ -289,7 +324,7 @@ class Trie:
             i = seq.find(lo, hi, start_at + rank[r].astype(np.uint64))
             hit = np.flatnonzero(i >= 0)
             third[r[hit]] = i[hit]
-            out[r[hit]] = _array(self.folder, key, "prob_book")[_array(self.folder, key, "prob")[i[hit]]]
+            out[r[hit]] = _array(self.folder, f"{key}.p", "prob_book")[_array(self.folder, f"{key}.p", "prob")[i[hit]]]
         two = np.flatnonzero((third < 0) & (place >= 0))
         out[two] += self.coded("pairs", before[two] % shards, place[two], "prob")
         one = np.flatnonzero((third < 0) & (place < 0))
@@ -332,8 +367,7 @@ def _trie(meta: dict) -> Trie:
     """This worker's view of the trie, made anew when there is more of it, or another one."""
     if not _held or _held[0].m != meta:
         if _held and _held[0].folder != meta["folder"]:
-            _sequence.cache_clear()
-            _array.cache_clear()
+            _files.clear()
         _held[:] = [Trie(dict(meta))]
     return _held[0]
 
@@ -442,17 +476,20 @@ def _small_counts(c: np.ndarray) -> dict[str, np.ndarray]:
 
 
 def _counts_of(folder: str, name: str) -> np.ndarray:
-    c = _load(folder, name, "small").astype(np.int64)
-    c[_load(folder, name, "big_at")] = _load(folder, name, "big")
+    raw = _load(f"{folder}/{RAW}", name)[0]
+    c = raw["small"].astype(np.int64)
+    c[raw["big_at"]] = raw["big"]
     return c
 
 
+RAW = "counts"
+
+
 def _discounts(n: np.ndarray) -> np.ndarray:
     """Discounts of counts 0, 1, 2 and 3 or more, from the counts of counts 1 to 4."""
-    n1, n2, n3, n4 = (float(x) for x in n)
-    y = n1 / (n1 + 2 * n2) if n1 else 0.5
-    d = [1 - 2 * y * n2 / n1 if n1 else 0.5, 2 - 3 * y * n3 / n2 if n2 else 1.0, 3 - 4 * y * n4 / n3 if n3 else 1.5]
-    return np.array([0.0, *(min(max(x, 0.05), (i + 1) * 0.98) for i, x in enumerate(d))])
+    n1, n2 = float(n[0]), float(n[1])
+    d = min(max(n1 / (n1 + 2 * n2), 0.05), 0.98) if n1 else 0.5
+    return np.array([0.0, d, d, d])
 
 
 def _smoothed(c: np.ndarray, group: np.ndarray, groups: int, d: np.ndarray, lower: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -467,7 +504,8 @@ def _smoothed(c: np.ndarray, group: np.ndarray, groups: int, d: np.ndarray, lowe
 
 def train(docs: DataFrame, folder: str | None = None) -> dict:
     """Build a trie from all of ``docs`` (text); returns what ``Trie`` needs.  Texts that are
-    null count as empty: an end each.  Without rows there are no shards, and N and V are 0."""
+    null count as empty: an end each.  Repeated rows count each; other columns are not read.
+    Without rows there are no shards, and N and V are 0.  ``drop`` deletes its files."""
     spark = docs.sparkSession
     folder = folder or f"{shared_dir(spark).rstrip('/')}/ngram-{uuid.uuid4().hex}"
     docs = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
@@ -508,7 +546,8 @@ def train(docs: DataFrame, folder: str | None = None) -> dict:
         k = k - np.uint64(s) * width
         local = -(-words_ // shards)
         ptr = np.searchsorted(k, np.arange(local + 1, dtype=np.uint64) * np.uint64(words_))
-        _save(folder, f"pairs{s}", _fielded(EliasFano.build(k), "key") | _fielded(EliasFano.build(ptr), "ptr") | _small_counts(c))
+        _save(folder, f"pairs{s}", _fielded(EliasFano.build(k), "key") | _fielded(EliasFano.build(ptr), "ptr"))
+        _save(f"{folder}/{RAW}", f"pairs{s}", _small_counts(c))
         return [len(k), *np.bincount(np.minimum(c, 5), minlength=6)[1:5].tolist()]
 
     stats = {r.shard: r.out for r in _merge(_count(docs, pair_keys, lambda _, k: (k // width).astype(np.int64)), shards, save_pairs)}
@@ -525,10 +564,11 @@ def train(docs: DataFrame, folder: str | None = None) -> dict:
         out = {}
         for what, logs in (("prob", p), ("back", back)):
             out[what], out[f"{what}_book"] = _quantise(logs)
-        _save(folder, f"pairs{s}", out)
+        _save(folder, f"pairs{s}.p", out)
         return []
 
     _per_shard(spark, list(range(shards)), finish_pairs)
+    remove(spark, f"{folder}/{RAW}")
 
     # triples: place of the pair in its shard, then place among the successors of its second word
     chunk = 1 << CHUNK_BITS
@@ -560,7 +600,9 @@ def train(docs: DataFrame, folder: str | None = None) -> dict:
         local = (k >> rank_bits).astype(np.int64) - lo
         rank = (k & ((np.uint64(1) << rank_bits) - np.uint64(1))).astype(np.int64)
         ptr = np.searchsorted(local, np.arange(n + 1))
-        _save(folder, f"triples{s}_{part}", _fielded(EliasFano.build(base[local] + rank), "key") | _fielded(EliasFano.build(ptr), "ptr") | _fielded(EliasFano.build(base), "base") | _small_counts(c))
+        name = f"triples{s}_{part}"
+        _save(folder, name, _fielded(EliasFano.build(base[local] + rank), "key") | _fielded(EliasFano.build(ptr), "ptr") | _fielded(EliasFano.build(base), "base"))
+        _save(f"{folder}/{RAW}", name, _small_counts(c))
         return [len(k), *np.bincount(np.minimum(c, 5), minlength=6)[1:5].tolist()]
 
     chunk_of = lambda s, k: (np.int64(s) << 32) + ((k >> rank_bits).astype(np.int64) >> CHUNK_BITS)
@@ -582,12 +624,11 @@ def train(docs: DataFrame, folder: str | None = None) -> dict:
         out = {}
         for what, logs in (("prob", p), ("back", back)):
             out[what], out[f"{what}_book"] = _quantise(logs)
-        _save(folder, name, out)
-        for k in ("small", "big_at", "big"):
-            _drop(folder, name, k)
+        _save(folder, f"{name}.p", out)
         return []
 
     _per_shard(spark, sorted(stats3), finish_triples)
+    remove(spark, f"{folder}/{RAW}")
     return meta | {"triples": frozenset((c >> 32, c & 0xFFFFFFFF) for c in stats3)}
 
 
@@ -621,8 +662,15 @@ def score(docs: DataFrame, meta: dict) -> DataFrame:
     return d.mapInArrow(run, RESULT)
 
 
+def drop(spark: SparkSession, meta: dict) -> None:
+    """Delete a trie's files."""
+    remove(spark, meta["folder"])
+
+
 def op7_lm(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     held = fold_of(F.col("doc_id"), FOLDS) == 0
     meta = train(docs.where(~held))
-    return score(docs, meta).select("doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    scored = cut(score(docs, meta).select("doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"))
+    drop(spark, meta)  # the scores are written
+    return scored
