@@ -75,6 +75,51 @@ def test_scores_match_brute_force(spark, monkeypatch, keys, chunk):
         assert r.score == pytest.approx(m.score(t), abs=0.02 * len(w) + 1e-9)
 
 
+def test_every_task_may_run_twice(spark, monkeypatch):
+    """Building and finishing tasks whose first run was lost after it wrote leave the same trie."""
+    monkeypatch.setattr(G, "SHARD_KEYS", 300)
+    df = spark.createDataFrame(data(), "doc_id long, text string").repartition(3)
+    score = lambda meta: sorted((r.doc_id, r.score) for r in G.score(df, meta).collect())
+    once = score(G.train(df))
+    merge, per_shard = G._merge, G._per_shard
+    monkeypatch.setattr(G, "_merge", lambda c, n, build: merge(c, n, lambda *a: (build(*a), build(*a))[1]))
+    monkeypatch.setattr(G, "_per_shard", lambda sp, names, work: (per_shard(sp, names, work), per_shard(sp, names, work))[1])
+    meta = G.train(df)
+    assert score(meta) == once
+    import os
+
+    left = os.listdir(meta["folder"])
+    assert G.RAW not in left and not [x for x in left if x.startswith(".")]
+    G.drop(spark, meta)
+    assert not os.path.exists(meta["folder"])
+
+
+def test_files_are_few_and_hold_no_descriptor(tmp_path):
+    rng = np.random.default_rng(2)
+    want = {}
+    for i in range(60):
+        want[i] = {"a": rng.integers(0, 255, 1000).astype(np.uint8), "b": rng.random(300), "none": np.zeros(0, np.int64)}
+        G._save(str(tmp_path), f"x{i}", want[i])
+    import os
+
+    held = len(os.listdir("/proc/self/fd"))
+    files = G._Files()
+    got = {i: files(str(tmp_path), f"x{i}")[0] for i in want}
+    assert files.opens == 60 and len(os.listdir("/proc/self/fd")) <= held + (60 if __import__("sys").version_info < (3, 13) else 0)
+    assert all((got[i][k] == v).all() and got[i][k].dtype == v.dtype for i in want for k, v in want[i].items())
+    assert len(os.listdir(tmp_path)) == 60
+
+
+def test_repeated_texts_score_above_single_ones(spark):
+    rng = np.random.default_rng(11)
+    text = lambda: " ".join(f"v{int(x)}" for x in rng.integers(0, 400, 60))
+    once, twice = [text() for _ in range(60)], [text() for _ in range(30)]
+    meta = G.train(spark.createDataFrame([(t,) for t in once + twice + twice], "text string"))
+    rows = [(i, t) for i, t in enumerate(once + twice)] + [(1000, "long " * 300_000)]
+    got = {r.doc_id: r.score / r.n_tokens for r in G.score(spark.createDataFrame(rows, "doc_id long, text string"), meta).collect()}
+    assert max(got[i] for i in range(60)) < min(got[i] for i in range(60, 90)) and math.isfinite(got[1000])
+
+
 def test_probabilities_sum_to_one():
     m = Brute([t for _, t in data()])
     for ctx in [("w1", "w2"), ("<s>", "w1"), ("zz", "w1"), ("zz", "yy")]:
