@@ -221,7 +221,9 @@ def packed(docs: DataFrame, capacity: int = CAPACITY, task_pieces: int = TASK_PI
     A null text is empty and has its end id alone.  Repeated rows, and null or repeated
     ids, are documents of their own.  Other columns are not read; an empty table gives an
     empty one.  A document longer than ``capacity`` is cut in full pieces, a shorter one
-    first; no other is cut.  Reruns agree: the pieces are written before they are dealt."""
+    first; no other is cut.  Reruns agree: the pieces are written before they are dealt, and
+    each task packs them in the order of (doc_id, piece, ...), nulls last, whatever way they
+    came; rows equal in all of these are the same piece."""
     cutting = cut(pieces(docs, capacity, **kw))
     n = max(1, -(-cutting.where(F.col("length") < capacity).count() // task_pieces))
 
@@ -230,7 +232,8 @@ def packed(docs: DataFrame, capacity: int = CAPACITY, task_pieces: int = TASK_PI
         got = list(batches)
         if not got:
             return
-        t = pa.Table.from_batches(got)
+        # in an order of its own: rows arrive as they are fetched
+        t = pa.Table.from_batches(got).sort_by([(c, "ascending") for c in ("doc_id", "piece", "start", "length", "ids_crc32")])
         size = t.column("length").to_numpy()
         seq, off = np.zeros(len(size), np.int64), np.zeros(len(size), np.int64)
         full = np.flatnonzero(size >= capacity)
