@@ -30,6 +30,12 @@ def test_parts():
     assert all(t.text.startswith(C.PLACEHOLDERS[a["kind"]], a["place"]) for a in t.attachments)
 
 
+def test_unknown_part_and_null_sizes():
+    t = C.format_turn("user", [{"type": "video", "ref": "v"}, {"type": "image", "ref": None, "width": None, "height": 3}, {"type": "text", "text": C.OTHER}], False)
+    assert t.text == "[INST] <|part|><|image|><\\|part|> [/INST]"
+    assert [(a["kind"], a["ref"], a["tokens"]) for a in t.attachments] == [("video", "v", 0), ("image", None, 0)]
+
+
 def brute(rows):
     out = {}
     for c in {r[0] for r in rows}:

@@ -30,7 +30,8 @@ from pyspark.sql import functions as F
 BEGIN, USER, USER_END, ANSWER_END = "<s>", "[INST] ", " [/INST]", "</s>"
 ROLE, ROLE_TEXT, OTHER_END = "<|role|>", "<|text|>", "<|end|>"
 PLACEHOLDERS = {"image": "<|image|>", "audio": "<|audio|>", "document": "<|document|>"}
-CONTROLS = ("<s>", "</s>", "[INST]", "[/INST]", ROLE, ROLE_TEXT, OTHER_END, *PLACEHOLDERS.values())
+OTHER = "<|part|>"  # of a part of any other type
+CONTROLS = ("<s>", "</s>", "[INST]", "[/INST]", ROLE, ROLE_TEXT, OTHER_END, *PLACEHOLDERS.values(), OTHER)
 _CONTROL = re.compile("|".join(re.escape(c) for c in CONTROLS) + r"|\\")
 _ESCAPED = re.compile(r"\\(\\?)")
 
@@ -72,11 +73,12 @@ class Flat:
         self._attach("document", part, (part.get("pages") or 0) * self.page_tokens)
 
     def visit_unknown(self, part: dict) -> None:
-        raise ValueError(f"unknown content part: {part.get('type')!r}")
+        """Any other type: recorded under its own name, with a placeholder that expands to nothing."""
+        self._attach(str(part.get("type")), part, 0)
 
     def _attach(self, kind: str, part: dict, tokens: int) -> None:
         self.attachments.append({"kind": kind, "ref": part.get("ref"), "place": self.size, "tokens": int(tokens)})
-        self._add(PLACEHOLDERS[kind])
+        self._add(PLACEHOLDERS.get(kind, OTHER))
 
     def _add(self, s: str) -> None:
         self.text.append(s)
@@ -168,7 +170,8 @@ def format_conversations(turns: DataFrame, segment_chars: int = SEGMENT_CHARS, *
     it is not null.  Turns are ordered by (turn, role, text, parts), nulls first; repeated
     rows are turns of their own; a null conv_id is a conversation; other columns are not
     read.  A conversation past ``segment_chars`` continues in a further segment after a
-    whole turn, so a worker holds one segment however long a conversation is.
+    whole turn, so a worker holds one segment however long a conversation is.  A part of an
+    unknown type has a placeholder of its own and is recorded as an attachment of no tokens.
     ``expanded_tokens`` counts what the attachments expand to."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
