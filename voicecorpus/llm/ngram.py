@@ -428,7 +428,7 @@ def _count(docs: DataFrame, keys_of: Callable, shard_of: Callable) -> DataFrame:
 
 
 def _merge(counted: DataFrame, shards: int, build: Callable) -> list:
-    """Run ``build(shard, keys, counts)`` for each shard where its blocks meet; the rows
+    """Run ``build(shard, keys, counts)`` for each shard, from 0 on, where its blocks meet; the rows
     (shard, list of numbers) that it returns come to the driver, one for each shard."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -452,7 +452,7 @@ def _merge(counted: DataFrame, shards: int, build: Callable) -> list:
                     keys, counts, held = [k], [c], 0
         yield from done()
 
-    dealt = counted.repartition(max(1, shards), "shard").sortWithinPartitions("shard")
+    dealt = counted.repartitionById(max(1, shards), F.col("shard").cast("int")).sortWithinPartitions("shard")  # a task each
     return dealt.mapInArrow(run, "shard long, out array<long>").collect()
 
 
@@ -572,6 +572,8 @@ def train(docs: DataFrame, folder: str | None = None) -> dict:
 
     # triples: place of the pair in its shard, then place among the successors of its second word
     chunk = 1 << CHUNK_BITS
+    chunks_before = np.concatenate(([0], np.cumsum([-(-stats[s][0] // chunk) for s in range(shards)])))
+    named = lambda code: (s := int(np.searchsorted(chunks_before, code, "right")) - 1, int(code - chunks_before[s]))
     rank_bits = np.uint64(max(1, words_.bit_length()))
 
     def triple_keys(col: pa.Array) -> list:
@@ -591,7 +593,7 @@ def train(docs: DataFrame, folder: str | None = None) -> dict:
         return out
 
     def save_triples(code: int, k: np.ndarray, c: np.ndarray) -> list[int]:
-        s, part = code >> 32, code & 0xFFFFFFFF
+        s, part = named(code)
         trie, lo = _trie(meta), part * chunk
         pairs = _sequence(folder, f"pairs{s}", "key")
         n = min(chunk, pairs.n - lo)
@@ -605,13 +607,13 @@ def train(docs: DataFrame, folder: str | None = None) -> dict:
         _save(f"{folder}/{RAW}", name, _small_counts(c))
         return [len(k), *np.bincount(np.minimum(c, 5), minlength=6)[1:5].tolist()]
 
-    chunk_of = lambda s, k: (np.int64(s) << 32) + ((k >> rank_bits).astype(np.int64) >> CHUNK_BITS)
-    n_chunks = sum(-(-stats[s][0] // chunk) for s in range(shards))
+    chunk_of = lambda s, k: chunks_before[s] + ((k >> rank_bits).astype(np.int64) >> CHUNK_BITS)
+    n_chunks = int(chunks_before[-1])
     stats3 = {r.shard: r.out for r in _merge(_count(docs, triple_keys, chunk_of), n_chunks, save_triples)}
     d3 = _discounts(np.sum([x[1:] for x in stats3.values()], 0)) if stats3 else np.zeros(4)
 
     def finish_triples(code: int) -> list[int]:
-        s, part = code >> 32, code & 0xFFFFFFFF
+        s, part = named(code)
         trie, lo, name = _trie(meta), part * chunk, f"triples{s}_{part}"
         pairs = _sequence(folder, f"pairs{s}", "key")
         ptr = _sequence(folder, name, "ptr").all().astype(np.int64)
@@ -629,7 +631,7 @@ def train(docs: DataFrame, folder: str | None = None) -> dict:
 
     _per_shard(spark, sorted(stats3), finish_triples)
     remove(spark, f"{folder}/{RAW}")
-    return meta | {"triples": frozenset((c >> 32, c & 0xFFFFFFFF) for c in stats3)}
+    return meta | {"triples": frozenset(map(named, stats3))}
 
 
 RESULT = "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double"
