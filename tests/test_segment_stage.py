@@ -19,7 +19,7 @@ def test_segment_snaps_to_silence_and_cuts_wavs(spark, tmp_path, vad):
     cfg = config.Config(config.deep_merge(config.DEFAULTS, {"paths": {"raw": str(tmp_path / "raw"), "work": str(tmp_path / "work")}, "segment": {"vad": vad}}))
     pipeline.run(spark, cfg, stage="ingest")
     segs = [("bk", "01", "s0", "a", "a", 0.7, 1.9, 1.0, ["a"]), ("bk", "01", "s1", "b", "b", 3.2, 4.3, 1.0, ["b"])]
-    records.write_jsonl(spark.createDataFrame(segs, schemas.SEGMENT), cfg.stage_path("align"))
+    records.write_by_book(spark.createDataFrame(segs, schemas.SEGMENT), cfg.stage_path("align"))
     assert pipeline.run(spark, cfg, stage="segment") == {"segment": 2}
     got = records.read_jsonl(spark, cfg.stage_path("segment"), schemas.CLIP).orderBy("clip_id").collect()
     assert [r.clip_id for r in got] == ["01_0000", "01_0001"] and {r.speaker_id for r in got} == {"bk"}
@@ -27,10 +27,10 @@ def test_segment_snaps_to_silence_and_cuts_wavs(spark, tmp_path, vad):
         assert r.start == pytest.approx(a, abs=0.051) and r.end == pytest.approx(b, abs=0.051)
         with open(r.wav, "rb") as f:
             y, sr = audio.decode(f.read())
-        assert sr == 16000 and len(y) / sr == pytest.approx(r.duration, abs=0.002)
+        assert sr == 22050 and len(y) / sr == pytest.approx(r.duration, abs=0.002)
         assert abs(y).max() > 0.4 and abs(y[:400]).max() < 0.01 and abs(y[-400:]).max() < 0.01
 
 
 def test_segment_refuses_an_unknown_detector(spark):
     with pytest.raises(ValueError):
-        pipeline.segment(spark, config.Config(config.deep_merge(config.DEFAULTS, {"segment": {"vad": "other"}})))
+        pipeline.segment(spark, config.Config(config.deep_merge(config.DEFAULTS, {"segment": {"vad": "other"}})), ["bk"])

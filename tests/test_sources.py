@@ -83,10 +83,13 @@ def test_pipeline_and_review(spark, raw):
     with pytest.raises(ValueError):
         pipeline.run(spark, cfg, stage="none")
     ch = records.read_jsonl(spark, cfg.stage_path("ingest"), schemas.CHAPTER)
+    assert {(r.book_id, r.codec, r.src_sample_rate, r.sample_rate_asr, r.sample_rate_master) for r in ch.collect()} == {("one", "pcm_s16le", 8000, 16000, 22050)}
     words = [(0.0, 0.4, "první", 1.0), (0.4, 0.9, "věta", 1.0)]
     heard = ch.where("chapter_id = '01'").crossJoin(spark.createDataFrame([("t", words)], f"asr_text string, words {schemas.WORDS}"))
-    records.write_jsonl(heard, cfg.stage_path("transcribe"))
-    assert pipeline.run(spark, cfg, from_stage="align") == {"align": 1, "segment": 1}
+    records.write_by_book(heard, cfg.stage_path("transcribe"))
+    with pytest.raises(FileNotFoundError):  # the other book was not transcribed
+        pipeline.run(spark, cfg, stage="align")
+    assert pipeline.run(spark, cfg, stage="align", book="one") == {"align": 1} and pipeline.run(spark, cfg, stage="segment", book="one") == {"segment": 1}
     assert spark.read.json(cfg.stage_path("segment")).first().clip_id == "01_0000"
     checked = str(raw / "work" / "checked")
     with pytest.raises(FileNotFoundError):

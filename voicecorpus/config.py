@@ -6,20 +6,27 @@ import copy
 from typing import Any
 
 DEFAULTS: dict = {
-    "export": {"seed": 42, "val_fraction": 0.02, "loudness_target_lufs": -23, "loudness_normalize": True, "sample_rate": 22050, "format": "piper"},
+    "language": "cs",
+    "paths": {"raw": "data/raw", "work": "data/work", "dataset": "data/dataset"},
+    "audio": {"asr_sample_rate": 16000, "master_sample_rate": 22050, "channels": 1, "sample_format": "s16"},
+    "ingest": {"jobs": 0},
+    "asr": {
+        "backend": "faster-whisper", "model": "small", "device": "cpu", "compute_type": "int8", "language": "cs",
+        "beam_size": 5, "vad_filter": True, "word_timestamps": True, "cpu_threads": 4, "jobs": 0,
+    },
+    "align": {"strategy": "asr_bridge", "min_score": 0.7, "forced": {"backend": "aeneas"}},
+    "segment": {
+        "min_duration": 1.0, "max_duration": 15.0, "silence_pad": 0.1, "vad": "silero",
+        "vad_threshold": 0.5, "vad_min_silence_ms": 300, "vad_speech_pad_ms": 30, "jobs": 0,
+    },
     "quality": {
-        "edge_tail_gap_ms": 30, "edge_lead_gap_ms": 0, "edge_min_ms": 40, "edge_max_centroid_hz": 900, "edge_weak_rel": 0.05, "edge_strong_rel": 0.30, "edge_frame_ms": 10,
-        "edge_noise_check": True, "max_silence_ratio": 0.5, "min_snr_db": 10, "review_cer": 0.10, "max_cer": 0.20, "reasr_reuse": False, "reasr_check": True, "jobs": 0,
+        "max_cer": 0.20, "review_cer": 0.10, "min_snr_db": 10, "max_silence_ratio": 0.5, "reasr_check": True, "reasr_reuse": False, "jobs": 0,
+        "edge_noise_check": True, "edge_frame_ms": 10, "edge_strong_rel": 0.30, "edge_weak_rel": 0.05, "edge_max_centroid_hz": 900,
+        "edge_min_ms": 40, "edge_lead_gap_ms": 0, "edge_tail_gap_ms": 30,
     },
-    "segment": {"vad_speech_pad_ms": 30, "vad_min_silence_ms": 300, "vad_threshold": 0.5, "vad": "silero", "silence_pad": 0.1, "max_duration": 15.0, "min_duration": 1.0, "jobs": 0},
-    "align": {"forced": {"backend": "aeneas"}, "min_score": 0.7, "strategy": "asr_bridge"},
-    "asr": {"jobs": 0, "cpu_threads": 4, "word_timestamps": True, "vad_filter": True, "beam_size": 5, "language": "cs", "compute_type": "int8", "device": "cpu", "model": "small", "backend": "faster-whisper"},
-    "ingest": {"jobs": 0},
-    "audio": {"sample_format": "s16", "channels": 1, "master_sample_rate": 22050, "asr_sample_rate": 16000},
-    "paths": {"dataset": "data/dataset", "work": "data/work", "raw": "data/raw"},
-    "language": "cs",
+    "export": {"format": "piper", "sample_rate": 22050, "loudness_normalize": True, "loudness_target_lufs": -23, "val_fraction": 0.02, "seed": 42},
 }
-STAGE_FOLDERS = {name: f"{i:02d}_{name}" for i, name in enumerate("ingest text_prep transcribe align segment quality".split())}
+STAGE_FOLDERS = {name: f"{i:02d}_{name}" for i, name in enumerate("ingest text_prep transcribe align segment quality export".split())}
 
 
 def deep_merge(base: dict, over: dict) -> dict:
@@ -48,8 +55,12 @@ class Config:
             raise KeyError(key)
         return v
 
+    def review_path(self) -> str:
+        """Where people's verdicts are kept, a folder for each book with its verdicts.csv."""
+        return f"{self.require('paths.work')}/review"
+
     def stage_path(self, stage: str) -> str:
-        """Where a stage keeps its records, all books together, by book."""
+        """Where a stage keeps its records: all books together, a folder for each."""
         return f"{self.require('paths.work')}/{STAGE_FOLDERS[stage]}"
 
     @property

@@ -50,14 +50,16 @@ def peak(samples: Column) -> Column:
     return F.coalesce(F.array_max(F.transform(samples, lambda x: F.abs(x.cast("double")))), F.lit(0.0))
 
 
-def to_mono(left: Column, right: Column) -> Column:
-    return F.zip_with(left, right, lambda a, b: (a + b) / 2)
+def to_mono(*channels: Column) -> Column:
+    """The mean of any number of channels (arrays of one length), sample by sample."""
+    whole = lambda x, i: sum((F.get(c, i).cast("double") for c in channels[1:]), x.cast("double")) / len(channels)
+    return F.transform(channels[0], whole)
 
 
 def gain(lufs: Column, target: float, peak_: Column, cap: float = 0.99) -> Column:
-    """Factor to the target loudness that keeps the peak at ``cap``; 1 if unmeasured."""
+    """Factor to the target loudness that keeps the peak at ``cap``; 1 if it is unmeasured or not finite."""
     g = F.pow(F.lit(10.0), (F.lit(target) - lufs) / 20)
-    return F.when(lufs.isNull(), 1.0).when(peak_ * g > cap, cap / peak_).otherwise(g)
+    return F.when(lufs.isNull() | F.isnan(lufs.cast("double")) | (F.abs(lufs.cast("double")) == float("inf")), 1.0).when(peak_ * g > cap, cap / peak_).otherwise(g)
 
 
 def _islands(rms: Column, threshold: Column, lo: Column, hi: Column) -> Column:
@@ -110,16 +112,26 @@ def _around(regions: Column, t: Column) -> tuple[Column, Column]:
     return F.try_element_at(F.filter(regions, lambda r: r["start"] <= t), F.lit(-1)), F.try_element_at(F.filter(regions, lambda r: r["start"] > t), F.lit(1))
 
 
+def snapped_end(start: Column, end: Column, t: Column, back: float = 0.24, fwd: float = 0.8) -> Column:
+    """Where ``t``, an end, snaps to, given the last region (null: none) that begins by it."""
+    inside = F.when(end <= t + fwd, end).otherwise(t)
+    return F.when(start.isNull(), t).when(t <= end, inside).when(end >= t - back, end).otherwise(t)
+
+
+def snapped_start(start: Column, end: Column, after: Column, t: Column, back: float = 0.8, fwd: float = 0.24) -> Column:
+    """The same for a start, given also where the next region begins."""
+    gap = F.when(after <= t + fwd, after).otherwise(t)
+    return F.when(start.isNotNull() & (t <= end), F.when(start >= t - back, start).otherwise(t)).otherwise(gap)
+
+
 def snap_end_regions(regions: Column, t: Column, back: float = 0.24, fwd: float = 0.8) -> Column:
     at, _ = _around(regions, t)
-    inside = F.when(at["end"] <= t + fwd, at["end"]).otherwise(t)
-    return F.when(at.isNull(), t).when(t <= at["end"], inside).when(at["end"] >= t - back, at["end"]).otherwise(t)
+    return snapped_end(at["start"], at["end"], t, back, fwd)
 
 
 def snap_start_regions(regions: Column, t: Column, back: float = 0.8, fwd: float = 0.24) -> Column:
     at, after = _around(regions, t)
-    gap = F.when(after["start"] <= t + fwd, after["start"]).otherwise(t)
-    return F.when(at.isNotNull() & (t <= at["end"]), F.when(at["start"] >= t - back, at["start"]).otherwise(t)).otherwise(gap)
+    return snapped_start(at["start"], at["end"], after["start"], t, back, fwd)
 
 
 def resample(x: np.ndarray, rate: int, to: int) -> np.ndarray:
@@ -171,6 +183,37 @@ def edge_noise(x: np.ndarray, sr: int, frame_ms: int = 10, strong: float = 0.30,
     return best
 
 
+def _filtered(b: np.ndarray, a: np.ndarray, x: np.ndarray, block: int = 256) -> np.ndarray:
+    """``x`` through a second-order filter (a: the two coefficients after 1), a block at a time: within
+    blocks by one matrix product, from block to block by the two values of the filter's state."""
+    n = -(-len(x) // block)
+    h = np.zeros(block)  # response to one sample
+    z = np.zeros(2)
+    ring = np.zeros((2, block))  # response to each value of the state
+    for i in range(block):
+        v = float(i == 0)
+        h[i] = b[0] * v + z[0]
+        z = np.array([b[1] * v - a[0] * h[i] + z[1], b[2] * v - a[1] * h[i]])
+    for k in range(2):
+        z = np.eye(2)[k]
+        for i in range(block):
+            ring[k, i] = z[0]
+            z = np.array([-a[0] * ring[k, i] + z[1], -a[1] * ring[k, i]])
+    at = np.arange(block)[:, None] - np.arange(block)[None]
+    toeplitz = np.where(at >= 0, h[np.maximum(at, 0)], 0.0)
+    padded = np.zeros(n * block)
+    padded[: len(x)] = x
+    rows = padded.reshape(n, block)
+    out = rows @ toeplitz.T
+    z = np.zeros(2)
+    for i in range(n):
+        out[i] += z @ ring
+        # the state after a block, from its last two samples in and out
+        y, u = out[i, -2:], rows[i, -2:]
+        z = np.array([b[1] * u[1] - a[0] * y[1] + b[2] * u[0] - a[1] * y[0], b[2] * u[1] - a[1] * y[1]])
+    return out.ravel()[: len(x)]
+
+
 def loudness(x: np.ndarray, sr: int) -> float | None:
     """Integrated loudness (LUFS) by ITU-R BS.1770: K-weighting, 400 ms blocks, both gates."""
     x = np.asarray(x, np.float64)
@@ -187,15 +230,7 @@ def loudness(x: np.ndarray, sr: int) -> float | None:
             b = np.array([vh + vb * k / q + k * k, 2 * (k * k - vh), vh - vb * k / q + k * k]) / a0
         else:
             b = np.array([1.0, -2.0, 1.0])
-        out, z1, z2 = np.empty_like(x), 0.0, 0.0
-        b0, b1, b2 = b.tolist()
-        a1, a2 = a.tolist()
-        for i, v in enumerate(x.tolist()):
-            y = b0 * v + z1
-            z1 = b1 * v - a1 * y + z2
-            z2 = b2 * v - a2 * y
-            out[i] = y
-        x = out
+        x = _filtered(b, a, x)
     energy = np.concatenate(([0.0], np.cumsum(x * x)))
     at = np.arange(0, len(x) - size + 1, hop)
     power = (energy[at + size] - energy[at]) / size

@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 METRICS = ["segments", "audio_seconds", "retained_pct", "mean_score", "dur_mean", "dur_min", "dur_max"]
 
 
+def ingest_totals(chapters: DataFrame) -> DataFrame:
+    """(book_id, chapters, seconds) of ``chapters`` (book_id, duration)."""
+    return chapters.groupBy("book_id").agg(F.count("*").alias("chapters"), F.sum("duration").alias("seconds"))
+
+
 def basic_metrics(segments: DataFrame, available: float) -> DataFrame:
     """A row for each strategy of ``segments`` (strategy, start, end, score), against the
     seconds of audio there are (0 counts as 1)."""
@@ -36,6 +41,17 @@ def boundary_metrics(frames: DataFrame, frame_len: int, sr: int) -> DataFrame:
     return e.agg(F.round(F.avg("lead"), 3).alias("lead_silence_mean"), F.round(F.avg("trail"), 3).alias("trail_silence_mean"))
 
 
+def compare(segments: DataFrame, chapters: DataFrame, edges: DataFrame | None = None) -> DataFrame:
+    """``basic_metrics`` of ``segments`` (book_id, chapter_id, start, end, score, strategy) against the
+    seconds of ``chapters`` (book_id, chapter_id, duration), with the mean silence at clips' ends
+    where ``edges`` (strategy, lead, trail) is given."""
+    m = basic_metrics(segments, chapters.agg(F.sum("duration")).first()[0] or 0.0)
+    if edges is None:
+        return m
+    e = edges.groupBy("strategy").agg(F.round(F.avg("lead"), 3).alias("lead_silence_mean"), F.round(F.avg("trail"), 3).alias("trail_silence_mean"))
+    return m.join(e, "strategy", "left")
+
+
 def report(metrics: DataFrame, strategies: list[str] | None = None) -> DataFrame:
     """A row for each metric, a column for each strategy."""
     names = [c for c in metrics.columns if c != "strategy"]

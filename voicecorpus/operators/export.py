@@ -2,13 +2,23 @@
 
 from __future__ import annotations
 
+import json
+import os
 import random
+from functools import reduce
+from operator import and_
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
+def passed(clips: DataFrame) -> DataFrame:
+    """The clips that go into a dataset."""
+    return clips.where(F.col("status") == "pass")
+
+
 def held_rows(n: int, fraction: float = 0.02, seed: int = 42) -> list[int]:
     """Row numbers (from 0) that a seeded shuffle of ``n`` rows puts first: the validation set."""
     order = list(range(n))
@@ -16,22 +26,98 @@ def held_rows(n: int, fraction: float = 0.02, seed: int = 42) -> list[int]:
     return order[: max(1, int(n * fraction))]
 
 
-def split_shuffled(rows: DataFrame, order: list[str], fraction: float = 0.02, seed: int = 42) -> DataFrame:
-    """``rows`` with split (train, val) as a seeded shuffle of them in ``order`` gives it.  It
-    needs global row numbers: for datasets of a size that the shuffle itself can take."""
-    spark = rows.sparkSession
-    held = spark.createDataFrame([(i,) for i in held_rows(rows.count(), fraction, seed)], "__n int")
-    d = rows.withColumn("__n", F.row_number().over(W.orderBy(*order)) - 1).join(held.withColumn("__v", F.lit(True)), "__n", "left")
-    return d.withColumn("split", F.when(F.col("__v"), "val").otherwise("train")).drop("__n", "__v")
+def split_shuffled(rows: DataFrame, order: list[str], fraction: float = 0.02, seed: int = 42, by: list[str] | None = None) -> DataFrame:
+    """``rows`` with split (train, val) as a seeded shuffle of each group (``by``; all rows, if none) in
+    ``order`` gives it.  Groups are shuffled in tasks of their own, by their ids alone: a
+    shuffle with one seed is sequential, so a group is a book or the like.  ``order`` names
+    columns that tell the rows of a group apart."""
+    by = by or []
+    keys = [*by, *[c for c in order if c not in by]]
+    slim = rows.select(*keys)
+
+    def one(f: pd.DataFrame) -> pd.DataFrame:
+        f = f.sort_values(order, kind="stable", na_position="first").reset_index(drop=True)
+        split = ["train"] * len(f)
+        for i in held_rows(len(f), fraction, seed) if len(f) else []:
+            split[i] = "val"
+        return f.assign(split=split)
+
+    schema = ", ".join(f"`{c}` {slim.schema[c].dataType.simpleString()}" for c in keys) + ", split string"
+    done = slim.groupBy(*by).applyInPandas(one, schema).withColumnsRenamed({c: f"__{c}" for c in keys})
+    same = [rows[c].eqNullSafe(done[f"__{c}"]) for c in keys]
+    return rows.join(done, reduce(and_, same)).drop(*[f"__{c}" for c in keys])
+
+
+BUCKETS = 1 << 16
 
 
 def split_ranked(rows: DataFrame, fraction: float = 0.02, seed: int = 42) -> DataFrame:
     """``rows`` (clip_id, ...) with split: the smallest of md5(clip_id, seed) are val, as many as
-    the shuffled split has.  Only the ids that are held out are sorted, in partial heaps."""
-    n = max(1, int(rows.count() * fraction))
-    held = rows.select("clip_id").orderBy(F.md5(F.concat_ws(":", F.col("clip_id").cast("string"), F.lit(seed)).cast("binary")), "clip_id").limit(n)
-    d = rows.join(held.withColumn("__v", F.lit(True)), "clip_id", "left")
-    return d.withColumn("split", F.when(F.col("__v"), "val").otherwise("train")).drop("__v")
+    the shuffled split has.  Hashes fall in 65,536 buckets; those are counted, whole buckets go
+    to either side, and only the one in which the number is reached is ordered."""
+    rank = F.md5(F.concat_ws(":", F.col("clip_id").cast("string"), F.lit(seed)).cast("binary"))
+    bucket = F.conv(F.substring(rank, 1, 4), 16, 10).cast("int")
+    counts = sorted((r.b, r.n) for r in rows.groupBy(bucket.alias("b")).agg(F.count("*").alias("n")).collect())  # BUCKETS rows at most
+    left = max(1, int(sum(n for _, n in counts) * fraction))
+    at = -1
+    for at, n in counts:  # noqa: B007
+        if n >= left:
+            break
+        left -= n
+    inside = rows.where(bucket == at).select("clip_id").orderBy(rank, "clip_id").limit(left)
+    d = rows.join(inside.withColumn("__v", F.lit(True)), "clip_id", "left")
+    return d.withColumn("split", F.when((bucket < at) | F.col("__v"), "val").otherwise("train")).drop("__v")
+
+
+NOTES = """# Training on this dataset
+
+Rows of `metadata.csv` are `{layout}`; `metadata_train.csv` and `metadata_val.csv` are its two parts.
+Language `{language}`, {rate} Hz mono WAV files in `wavs/`, one speaker.
+
+```bash
+python -m piper_train.preprocess --sample-rate {rate} --single-speaker --dataset-format ljspeech \\
+  --output-dir {folder}/prepared --input-dir {folder} --language {language}
+```
+"""
+LAYOUTS = {"piper": "file.wav|text", "ljspeech": "id|text|normalized"}
+
+
+def notes(folder: str, language: str, rate: int, layout: str) -> str:
+    """What the dataset is, and the command that prepares it."""
+    return NOTES.format(folder=folder, language=language, rate=rate, layout=LAYOUTS[layout])
+
+
+def write_books(rows: DataFrame, folder: str, layout: str, language: str, rate: int) -> DataFrame:
+    """Write each book's metadata.csv (all, train, val), dataset_stats.json and PIPER.md in
+    ``folder``/book, a mounted shared one, and return the statistics by book.
+
+    ``rows``: book_id, clip_id, place (their order), line, split, text, speaker_id, duration.  A book's
+    lines, no audio, pass through one task."""
+    schema = "book_id string, clips long, total_hours double, duration_min double, duration_max double, duration_mean double, speakers array<string>, char_inventory string, char_count long, val_clips long, sample_rate int"
+
+    def put(path: str, text: str) -> None:
+        part = f"{path}.{os.getpid()}"
+        with open(part, "w", encoding="utf-8") as f:
+            f.write(text)
+        os.replace(part, path)
+
+    def one(f: pd.DataFrame) -> pd.DataFrame:
+        f = f.sort_values(["place", "clip_id"])
+        book, chars = f["book_id"].iloc[0], "".join(sorted(set("".join(f["text"]))))
+        here = f"{folder}/{book}"
+        os.makedirs(here, exist_ok=True)
+        d = f["duration"]
+        stats = {
+            "clips": len(f), "total_hours": round(float(d.sum()) / 3600, 3), "duration_min": round(float(d.min()), 2), "duration_max": round(float(d.max()), 2), "duration_mean": round(float(d.mean()), 2),
+            "speakers": sorted({s for s in f["speaker_id"] if s is not None}), "char_inventory": chars, "char_count": len(chars), "val_clips": int((f["split"] == "val").sum()), "sample_rate": rate,
+        }
+        for name, part in (("metadata", f), ("metadata_train", f[f["split"] == "train"]), ("metadata_val", f[f["split"] == "val"])):
+            put(f"{here}/{name}.csv", "".join(f"{x}\n" for x in part["line"]))
+        put(f"{here}/dataset_stats.json", json.dumps(stats, ensure_ascii=False, indent=2))
+        put(f"{here}/PIPER.md", notes(here, language, rate, layout))
+        return pd.DataFrame([{"book_id": book} | stats])
+
+    return rows.groupBy("book_id").applyInPandas(one, schema)
 
 
 def metadata_lines(rows: DataFrame, layout: str = "piper") -> DataFrame:

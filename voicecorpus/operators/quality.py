@@ -34,10 +34,17 @@ def grade(clips: DataFrame, min_duration: float = 1.0, max_duration: float = 15.
 
 def with_previous_asr(clips: DataFrame, previous: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(clips whose text was heard before, with cer and asr_text; those still to hear).  Two
-    branches, so a provider's function sees no row of the first."""
-    seen = previous.where("asr_text is not null").select("clip_id", "cer", "asr_text")
+    branches, so a provider's function sees no row of the first.  Clips are told apart by
+    clip_id, and book_id where both sides have it; of several earlier rows one counts."""
+    keys = [c for c in ("book_id", "clip_id") if c in clips.columns and c in previous.columns]
+    seen = previous.where("asr_text is not null").groupBy(*keys).agg(F.max(F.struct("asr_text", "cer")).alias("h")).select(*keys, "h.cer", "h.asr_text")
     bare = clips.drop("cer", "asr_text")
-    return bare.join(seen, "clip_id"), bare.join(seen, "clip_id", "left_anti")
+    return bare.join(seen, keys), bare.join(seen, keys, "left_anti")
+
+
+def all_heard(clips: DataFrame, previous: DataFrame) -> bool:
+    """Whether every clip was heard before, so that no recogniser is needed."""
+    return with_previous_asr(clips, previous)[1].isEmpty()
 
 
 def status_counts(checked: DataFrame) -> DataFrame:
@@ -45,17 +52,24 @@ def status_counts(checked: DataFrame) -> DataFrame:
     return checked.agg(F.count("*").alias("clips"), n("pass"), n("review"), n("reject"))
 
 
-def flagged(checked: DataFrame) -> DataFrame:
-    """Rows that did not pass, in the report's columns."""
+def flagged(checked: DataFrame, also: list[str] | None = None) -> DataFrame:
+    """Rows that did not pass, in the report's columns, after those in ``also``."""
     cols = [T.flags_text(F.col("flags")).alias("flags") if c == "flags" else F.col(c) if c in checked.columns else F.lit(None).cast("string").alias(c) for c in FLAGGED]
-    return checked.where("status <> 'pass'").select(*cols)
+    return checked.where("status <> 'pass'").select(*(also or []), *cols)
+
+
+def heard(clips: DataFrame, reference: str = "normalized") -> DataFrame:
+    """``clips`` (..., asr_text) with cer, the error rate of what was heard against the label; null
+    where nothing was, or the label has no letter."""
+    return clips.withColumn("cer", T.cer(F.col(reference), F.col("asr_text")))
 
 
-def select_for_listening(clips: DataFrame, status: str | None = None, flag: str | None = None) -> DataFrame:
-    """By status and by a flag, whether flags are an array or joined text."""
+def select_for_listening(clips: DataFrame, status: str | None = None, flag: str | None = None, shuffle: bool = False) -> DataFrame:
+    """By status and by a flag, whether flags are an array or joined text; in another order each
+    time if ``shuffle``."""
     if status:
         clips = clips.where(F.col("status") == status)
     if flag:
         f = F.col("flags") if clips.schema["flags"].dataType.typeName() == "array" else T.flags_array(F.col("flags"))
         clips = clips.where(F.array_contains(f, flag))
-    return clips
+    return clips.orderBy(F.rand()) if shuffle else clips

@@ -22,17 +22,28 @@ def upsert(old: DataFrame, new: DataFrame) -> DataFrame:
     return latest(old.withColumn("seq", F.lit(-1).cast("long")).unionByName(new)).orderBy("clip_id")
 
 
+def _keys(clips: DataFrame, verdicts: DataFrame) -> list[str]:
+    """clip_id, and book_id where both sides have it: ids of clips are one book's."""
+    return [c for c in ("book_id", "clip_id") if c in clips.columns and c in verdicts.columns]
+
+
+def _one(clips: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """One verdict for each clip: the last by seq where that is there; else a rejection holds."""
+    last = F.max_by("verdict", "seq") if "seq" in verdicts.columns else F.max("verdict")  # approve < reject
+    return verdicts.groupBy(*_keys(clips, verdicts)).agg(last.alias("verdict"))
+
+
 def apply_verdicts(clips: DataFrame, verdicts: DataFrame) -> DataFrame:
     """``clips`` with verdict, and status after it: reject always holds, approval lifts review
-    only.  ``verdicts`` has one row for each clip."""
-    d = clips.drop("verdict").join(verdicts.select("clip_id", "verdict"), "clip_id", "left")
+    only.  A clip stays one row, however many verdicts there are on it."""
+    d = clips.drop("verdict").join(_one(clips, verdicts), _keys(clips, verdicts), "left")
     lifted = F.col("verdict").isNotNull() & (F.col("status") == "review")
     return d.withColumn("status_before", F.col("status")).withColumn("status", F.when(F.col("verdict") == "reject", "reject").when(lifted, "pass").otherwise(F.col("status")))
 
 
 def stale(clips: DataFrame, verdicts: DataFrame) -> DataFrame:
     """Verdicts on clips that are not there."""
-    return verdicts.join(clips, "clip_id", "left_anti")
+    return verdicts.join(clips, _keys(clips, verdicts), "left_anti")
 
 
 def outcome(clips: DataFrame, verdicts: DataFrame) -> DataFrame:

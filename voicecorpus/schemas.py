@@ -7,5 +7,6 @@ TRANSCRIPT = f"{CHAPTER}, asr_text string, words {WORDS}"
 SEGMENT = "book_id string, chapter_id string, seg_id string, text string, normalized string, start double, end double, score double, matched_words array<string>"
 CLIP = "book_id string, speaker_id string, chapter_id string, seg_id string, clip_id string, wav string, text string, normalized string, start double, end double, duration double, align_score double"
 CHECKED = f"{CLIP}, peak double, silence_ratio double, snr_db double, edge_lead_ms long, edge_tail_ms long, cer double, asr_text string, flags array<string>, status string, verdict string"
+HEARD = "book_id string, clip_id string, cer double, asr_text string"
 VERDICT = "clip_id string, verdict string, flags string"
 FLAGGED = "clip_id status flags duration snr_db silence_ratio cer edge_lead_ms edge_tail_ms text wav".split()

@@ -65,10 +65,53 @@ def append_jsonl(df: DataFrame, path: str) -> int:
 
 
 def write_json(row: dict, path: str) -> None:
-    """One document, indented, at the driver."""
-    os.makedirs(os.path.dirname(os.path.abspath(path)), exist_ok=True)
-    with open(path, "w", encoding="utf-8") as f:
-        json.dump(row, f, ensure_ascii=False, indent=2)
+    """One document, indented, written by the driver on whatever file system the path is."""
+    text = json.dumps(row, ensure_ascii=False, indent=2)
+    spark = SparkSession.getActiveSession()
+    if spark is None or "://" not in path:
+        path = path.removeprefix("file:")
+        os.makedirs(os.path.dirname(os.path.abspath(path)), exist_ok=True)
+        with open(path, "w", encoding="utf-8") as f:
+            f.write(text)
+        return
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file, with the folders above it."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p, True).close()
+
+
+def write_by_book(df: DataFrame, path: str) -> int:
+    """Write records as a folder for each book_id, in place of those books' alone; their number."""
+    from pyspark.sql import Observation
+
+    seen = Observation()
+    out = df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").partitionBy("book_id")
+    out.option("partitionOverwriteMode", "dynamic").option("ignoreNullFields", "false").json(path)
+    return seen.get["n"]
+
+
+def read_book_verdicts(spark: SparkSession, path: str) -> DataFrame:
+    """(book_id, clip_id, verdict, flags, seq) of ``path``/<book>/verdicts.csv of all books."""
+    schema = f"book_id string, {VERDICT}, seq long"
+    files = [f for f in (f"{path}/{b}/verdicts.csv" for b in folders(spark, path)) if exists(spark, f)]
+    if not files:
+        return spark.createDataFrame([], schema)
+    d = spark.read.option("header", True).option("recursiveFileLookup", "true").schema(VERDICT).csv(files)
+    book = _unquoted(F.regexp_extract(F.input_file_name(), r"([^/]+)/verdicts\.csv", 1))
+    return d.select(book.alias("book_id"), *d.columns, F.monotonically_increasing_id().alias("seq"))
+
+
 
 
 def read_verdicts(spark: SparkSession, path: str) -> DataFrame:
@@ -113,18 +156,43 @@ def write_metadata(lines: DataFrame, path: str, order: list[str]) -> None:
     lines.orderBy(*order).select("line").write.mode("overwrite").text(path)
 
 
-def books(spark: SparkSession, raw: str) -> DataFrame:
-    """(book_id, text) of every raw/<book>/book.txt; a book without text is no row."""
-    if not exists(spark, raw):
-        return spark.createDataFrame([], "book_id string, text string")
-    d = spark.read.text(f"{raw.rstrip('/')}/*/book.txt", wholetext=True)
-    return d.select(F.regexp_extract(F.input_file_name(), r"([^/]+)/book\.txt$", 1).alias("book_id"), F.col("value").alias("text"))
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder, sorted; nothing there is none."""
+    if not exists(spark, path):
+        return []
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p)
+    return sorted(f.getPath().getName() for f in found if f.isDirectory() and not f.getPath().getName().startswith("."))
+
+
+def books(spark: SparkSession, raw: str, names: list[str] | None = None) -> DataFrame:
+    """(book_id, text) of every raw/<book>/book.txt, or of the books named, each of which must have
+    its text."""
+    schema = "book_id string, text string"
+    if names is None:
+        names = [n for n in folders(spark, raw) if exists(spark, f"{raw.rstrip('/')}/{n}/book.txt")]
+    paths = [f"{raw.rstrip('/')}/{n}/book.txt" for n in names]
+    for p in paths:
+        if not exists(spark, p):
+            raise FileNotFoundError(p)
+    if not paths:
+        return spark.createDataFrame([], schema)
+    d = spark.read.text(paths, wholetext=True)
+    return d.select(_unquoted(F.regexp_extract(F.input_file_name(), r"([^/]+)/book\.txt$", 1)).alias("book_id"), F.col("value").alias("text"))
+
+
+def _unquoted(name):
+    """A part of a file's address as the name it stands for."""
+    return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
 
 
-def chapter_files(spark: SparkSession, raw: str, content: bool = False) -> DataFrame:
+def chapter_files(spark: SparkSession, raw: str, content: bool = False, names: list[str] | None = None) -> DataFrame:
     """(book_id, chapter_id, order, path[, content]) of raw/<book>/audio files with a known
-    ending, in order of name.  Two files of one stem in a book are an error when read."""
-    d = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(raw)
+    ending, in order of name; of the books named only, if so.  Two files of one stem in a book
+    are an error when read."""
+    d = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(raw if names is None else [f"{raw.rstrip('/')}/{n}/audio" for n in names if exists(spark, f"{raw.rstrip('/')}/{n}/audio")] or raw)
+    if names is not None:
+        d = d.where(F.regexp_extract("path", r"([^/]+)/audio/[^/]+$", 1).isin(names))
     if not content:
         d = d.drop("content")
     d = d.where(F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1)).isin(*AUDIO)).where(F.col("path").rlike("/audio/[^/]+$"))
