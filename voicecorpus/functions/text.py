@@ -22,15 +22,14 @@ NO_STOP = {
     3: "cca csc doc hod ing kap mgr mil min mld nám obr odst popř roč sec str tab tis tzn tzv viz zák čís apod atd např resp kupř písm stol".split(),
     4: "drsc judr mudr phdr prof rndr rsdr thdr paeddr".split(),
 }
-#: Spoken forms, grouped by the kind of word: key:form, the stop is part of the key.
-DOTTED = dict(
-    x.split(":")
-    for x in (
-        "tis:tisíc;mil:milionů;mld:miliard;min:minut;hod:hodin;tab:tabulka;obr:obrázek;kap:kapitola;odst:odstavec;roč:ročník;str:strana;čís:číslo;č:číslo;"
-        "kupř:kupříkladu;popř:popřípadě;resp:respektive;mj:mimo jiné;aj:a jiné;apod:a podobně;atd:a tak dále;tzv:takzvaný;tzn:to znamená;tj:to jest;např:například"
-    ).split(";")
-)
-UNDOTTED = {"viz": "viz", "cca": "cirka"}
+#: Spoken forms of shortened words that end in a stop.
+DOTTED = {
+    "aj": "a jiné", "apod": "a podobně", "atd": "a tak dále", "č": "číslo", "čís": "číslo", "hod": "hodin", "kap": "kapitola", "kupř": "kupříkladu",
+    "mil": "milionů", "min": "minut", "mj": "mimo jiné", "mld": "miliard", "např": "například", "obr": "obrázek", "odst": "odstavec", "popř": "popřípadě",
+    "resp": "respektive", "roč": "ročník", "str": "strana", "tab": "tabulka", "tis": "tisíc", "tj": "to jest", "tzn": "to znamená", "tzv": "takzvaný",
+}
+#: Of those that have none.
+UNDOTTED = {"cca": "cirka", "viz": "viz"}
 
 
 def strip(c: Column) -> Column:
@@ -136,9 +135,14 @@ def cer(reference: Column, hypothesis: Column) -> Column:
     return F.when(F.length(ref) > 0, edit_distance(ref, fold_text(hypothesis)) / F.length(ref))
 
 
-def expand_abbreviations(c: Column) -> Column:
-    """Spoken forms of shortened words; a capital first letter stays one."""
-    for key, form in sorted(DOTTED.items(), key=lambda kv: (-len(kv[0]), kv[0])):
+def _by_length(words: dict) -> list[str]:
+    return sorted(words, key=lambda w: (-len(w), w))
+
+
+def _in_turn(c: Column) -> Column:
+    """Each shortened word replaced after the other, the longest first."""
+    for key in _by_length(DOTTED):
+        form = DOTTED[key]
         c = F.regexp_replace(c, rf"(?U)\b{key[0].upper()}(?iu:{key[1:]})\.", form[0].upper() + form[1:])
         c = F.regexp_replace(c, rf"(?U)\b{key[0]}(?iu:{key[1:]})\.", form)
     for key, form in UNDOTTED.items():
@@ -147,6 +151,29 @@ def expand_abbreviations(c: Column) -> Column:
     return c
 
 
+def expand_abbreviations(c: Column) -> Column:
+    """Spoken forms of shortened words; a capital first letter stays one.
+
+    A text is split at all of them at once and joined with their forms.  Only where one
+    follows another's stop without a blank does the order in which they are replaced show
+    (a form ends in a letter, so what stood at a word's begin may not any more); such texts
+    are worked on word by word."""
+    dotted, bare = "|".join(_by_length(DOTTED)), "|".join(_by_length(UNDOTTED))
+    some = rf"(?U)\b(?iu:{dotted})\.|\b(?iu:{bare})\b"
+    close = rf"(?U)\b(?iu:{dotted})\.(?iu:{dotted}|{bare})(?:\.|\b)"
+    forms = F.create_map(*[F.lit(x) for kv in {**DOTTED, **UNDOTTED}.items() for x in kv])
+
+    def spoken_form(w: Column) -> Column:
+        key = F.rtrim(w, F.lit("."))
+        form = F.element_at(forms, F.lower(key))
+        first = F.substring(w, 1, 1)
+        return F.when(first == F.lower(first), form).otherwise(F.concat(F.upper(F.substring(form, 1, 1)), F.substring(form, 2, 100)))
+
+    found = F.transform(F.regexp_extract_all(c, F.lit(f"({some})"), 1), spoken_form)
+    parts = F.zip_with(F.split(c, some, -1), F.concat(found, F.array(F.lit(""))), lambda a, b: F.concat(a, b))
+    return F.when(c.rlike(close), _in_turn(c)).otherwise(F.array_join(parts, ""))
+
+
 ONES = "jedna dva tři čtyři pět šest sedm osm devět deset jedenáct dvanáct třináct čtrnáct patnáct šestnáct sedmnáct osmnáct devatenáct".split()
 TENS = "dvacet třicet čtyřicet padesát šedesát sedmdesát osmdesát devadesát".split()
 HUNDREDS = ["sto", "dvě stě", *(f"{w} sta" for w in ("tři", "čtyři")), *(f"{w} set" for w in ("pět", "šest", "sedm", "osm", "devět"))]

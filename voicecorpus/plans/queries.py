@@ -75,8 +75,11 @@ def sentences(spark, d):
 
 @_query(f"WITH {_SENT_ROWS} SELECT lang, count(DISTINCT doc_id) AS docs, count(*) AS sentences, sum(len({_TOKENS('sentence')}))::BIGINT AS tokens FROM s GROUP BY lang")
 def sentence_stats(spark, d):
-    s = _sentences(spark, d)
-    return s.groupBy("lang").agg(F.countDistinct("doc_id").alias("docs"), F.count("*").alias("sentences"), F.sum(F.size(T.tokenize(F.col("sentence"))).cast("long")).alias("tokens"))
+    """Counted within each document's row, so that one row for each is aggregated."""
+    s = _t(spark, d, "documents").select("doc_id", "lang", T.sentences(F.col("text")).alias("s")).where(F.size("s") > 0)
+    tokens = F.aggregate("s", F.lit(0).cast("long"), lambda a, x: a + F.size(T.tokenize(x)))
+    s = s.select("doc_id", "lang", F.size("s").cast("long").alias("n"), tokens.alias("tokens"))
+    return s.groupBy("lang").agg(F.countDistinct("doc_id").alias("docs"), F.sum("n").alias("sentences"), F.sum("tokens").alias("tokens"))
 
 
 _IDS = f"""r AS (SELECT printf('%s_s%05d', doc_id::VARCHAR, "order") AS sent_id, {_CLEAN('sentence')} AS text, {_TOKENS('sentence')} AS tokens FROM s)"""
@@ -88,11 +91,6 @@ def sentence_records(spark, d):
     return s.where(F.size("t") > 0).select("sent_id", "text", F.array_join("t", " ").alias("tokens"))
 
 
-@_query()
-def normalized_sentences(spark, d):
-    return text_prep.sentence_records(_t(spark, d, "documents"), book="doc_id").select("sent_id", "text", "normalized", F.size("tokens").alias("n_tokens"))
-
-
 @_query(f"WITH t AS (SELECT unnest({_TOKENS('text')}) AS token FROM documents) SELECT token, count(*) AS n FROM t GROUP BY token")
 def token_counts(spark, d):
     return _t(spark, d, "documents").select(F.explode(T.tokenize(F.col("text"))).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
@@ -119,6 +117,46 @@ def abbreviations(spark, d):
     return _t(spark, d, "documents").select("doc_id", T.expand_abbreviations(F.col("text")).alias("expanded"))
 
 
+def _sql_spoken(digits: str) -> str:
+    """Words of a number given as digits, from the lists of words that a query has as alone and before."""
+    n = f"({digits})::BIGINT"
+    groups = []
+    for k in (3, 2, 1, 0):
+        x = f"({n} // {1000**k} % 1000)"
+        if k:
+            one, some, many = T.SCALES[k - 1]
+            scale = f"CASE WHEN {x} = 1 THEN '{one}' WHEN {x} % 10 BETWEEN 2 AND 4 AND {x} % 100 NOT BETWEEN 10 AND 20 THEN '{some}' ELSE '{many}' END"
+            groups.append(f"CASE WHEN {x} > 0 THEN ltrim(before[{x} + 1] || ' ' || {scale}) END")
+        else:
+            groups.append(f"CASE WHEN {x} > 0 THEN alone[{x} + 1] END")
+    return f"CASE WHEN length({digits}) > 12 THEN {digits} WHEN {digits} = '' THEN 'nula' ELSE concat_ws(' ', {', '.join(groups)}) END"
+
+
+_NUMBERS = r"(?:[0-9]{1,3}(?:[ \x{00a0}.][0-9]{3})+|[0-9]+)(?:,[0-9]+)?"
+
+
+def _sql_expanded(x: str) -> str:
+    """``x`` with its numbers in words: split at them, and joined with their words."""
+    whole, part = "ltrim(regexp_replace(string_split(m, ',')[1], '[^0-9]', '', 'g'), '0')", "ltrim(string_split(m, ',')[2], '0')"
+    words = f"{_sql_spoken(whole)} || CASE WHEN contains(m, ',') THEN ' celá ' || {_sql_spoken(part)} ELSE '' END"
+    return (
+        f"array_to_string(list_transform(list_zip(string_split_regex({x}, '{_NUMBERS}'), list_append(list_transform(regexp_extract_all({x}, '{_NUMBERS}'), lambda m: {words}), '')), lambda z: z[1] || coalesce(z[2], '')), '')"
+    )
+
+
+_WORD_LISTS = ", ".join("[" + ", ".join(f"'{w}'" for w in T._below_thousand(alone)) + f"] AS {name}" for alone, name in ((True, "alone"), (False, "before")))
+
+
+@_query(
+    f"""WITH {_SENT_ROWS}, l AS (SELECT {_WORD_LISTS}), c AS (SELECT *, {_CLEAN('sentence')} AS text FROM s),
+a AS (SELECT *, {_sql_abbreviations('text')} AS spoken FROM c),
+e AS (SELECT doc_id, "order", text, regexp_replace(regexp_replace({_sql_expanded('spoken')}, '\\s+', ' ', 'g'), '^ | $', '', 'g') AS normalized FROM a, l)
+SELECT printf('%s_s%05d', doc_id::VARCHAR, "order") AS sent_id, text, normalized, len({_TOKENS('normalized')})::INT AS n_tokens FROM e WHERE len({_TOKENS('normalized')}) > 0"""
+)
+def normalized_sentences(spark, d):
+    return text_prep.sentence_records(_t(spark, d, "documents"), book="doc_id").select("sent_id", "text", "normalized", F.size("tokens").alias("n_tokens"))
+
+
 def _sql_number(n: str) -> str:
     arr = lambda ws: "[" + ", ".join(f"'{w}'" for w in ws) + "]"
     low = lambda x: f"list_filter([CASE WHEN {x} >= 100 THEN {arr(T.HUNDREDS)}[{x} // 100] END, CASE WHEN {x} % 100 >= 20 THEN {arr(T.TENS)}[{x} % 100 // 10 - 1] WHEN {x} % 100 > 0 THEN {arr(T.ONES)}[{x} % 100] END, CASE WHEN {x} % 100 >= 20 AND {x} % 10 > 0 THEN {arr(T.ONES)}[{x} % 10] END], lambda w: w IS NOT NULL)"
@@ -133,18 +171,18 @@ def number_words(spark, d):
     return _t(spark, d, "part").select("p_partkey", T.number_words(p).alias("key_words"), T.number_words(p * 397 % 1000000).alias("large_words"))
 
 
-_FOLD_SQL = lambda x: f"trim(regexp_replace(regexp_replace(strip_accents(lower({x})), '[^a-z0-9\\s]', '', 'g'), '\\s+', ' ', 'g'))"
+# what is left beyond ASCII is one byte, as DuckDB counts bytes
+_FOLD_SQL = lambda x: f"translate(regexp_replace(regexp_replace(regexp_replace(strip_accents(lower({x})), '[^\\p{{L}}\\p{{N}}\\s]', '', 'g'), '\\s+', ' ', 'g'), '^ | $', '', 'g'), 'ß', chr(1))"
 
 
 @_query(
-    f"""WITH x AS (SELECT doc_id, item_id, {_FOLD_SQL('substr(b.text, 1, 120)')} AS ref, {_FOLD_SQL('substr(d.text, 1, 120)')} AS hyp
-  FROM documents d JOIN benchmark b ON b.item_id = d.doc_id % 40 WHERE d.lang = 'en' AND NOT regexp_matches(substr(d.text, 1, 120) || substr(b.text, 1, 120), '[^\\x00-\\x7f]'))
+    f"""WITH b AS (SELECT item_id, text, row_number() OVER (ORDER BY item_id) - 1 AS k FROM benchmark),
+x AS (SELECT doc_id, item_id, {_FOLD_SQL('b.text')} AS ref, {_FOLD_SQL('d.text')} AS hyp FROM documents d JOIN b ON b.k = d.doc_id % (SELECT greatest(1, count(*)) FROM b))
 SELECT doc_id, item_id, CASE WHEN length(ref) > 0 THEN levenshtein(ref, hyp) / length(ref) END AS cer FROM x"""
 )
 def cer_pairs(spark, d):
     """Whole texts of every document, each against one item: the items by rank, dealt to the
-    documents by doc_id modulo their counted number.  The SQL beside it still has prefixes,
-    English only and forty items, so it is no oracle of this."""
+    documents by doc_id modulo their counted number."""
     b = _t(spark, d, "benchmark").select("item_id", F.col("text").alias("r"))
     n = max(1, b.count())
     items = b.withColumn("k", F.row_number().over(W.orderBy("item_id")) - 1)
@@ -152,9 +190,8 @@ def cer_pairs(spark, d):
     return docs.join(items, "k").select("doc_id", "item_id", T.cer(F.col("r"), F.col("h")).alias("cer"))
 
 
-@_query("SELECT page_id, replace(replace(replace(substr(html, 1, 200), '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS escaped FROM pages")
+@_query("SELECT page_id, replace(replace(replace(html, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS escaped FROM pages")
 def xml_escape(spark, d):
-    """Whole pages; the SQL beside it still ends at 200 characters, so it is no oracle of this."""
     return _t(spark, d, "pages").select("page_id", T.xml_escape(F.col("html")).alias("escaped"))
 
 
@@ -275,10 +312,10 @@ def _points_regions(spark, d):
 
 @_query(f"WITH {_REGION_SQL} SELECT event_id, {_SNAP_END} AS snapped_end, {_SNAP_START} AS snapped_start FROM b")
 def region_snap(spark, d):
-    p, r = _points_regions(spark, d)
-    arrays = r.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("regions"))
-    j = p.join(arrays, "user_id", "left").withColumn("regions", F.coalesce("regions", F.array().cast("array<struct<start:double,end:double>>")))
-    return j.select("event_id", S.snap_end_regions(F.col("regions"), F.col("t")).alias("snapped_end"), S.snap_start_regions(F.col("regions"), F.col("t")).alias("snapped_start"))
+    """By the as-of join: one sort by key, and no key's regions in one row."""
+    j = segments.region_join(*_points_regions(spark, d), "user_id")
+    at, end, after, t = (F.col(c) for c in ("region_start", "region_end", "next_start", "t"))
+    return j.select("event_id", S.snapped_end(at, end, t).alias("snapped_end"), S.snapped_start(at, end, after, t).alias("snapped_start"))
 
 
 @_query(f"WITH {_REGION_SQL} SELECT event_id, t, rs AS region_start, re AS region_end, nx AS next_start FROM b")
@@ -372,10 +409,27 @@ def resample(spark, d):
     return e.select("vec_id", "i", (F.round(F.col("s").cast("double"), 5) + F.lit(0.0)).alias("sample"))
 
 
-@_query()
+#: A frame is four samples; Hann's window leaves the two inner ones, so its spectrum has a closed form.
+_EDGE = {"strong": 0.9, "weak": 0.6, "max_hz": 110.0}
+_EDGE_SQL = """{n}0 AS (SELECT vec_id, {samples} AS e FROM embeddings),
+{n}1 AS (SELECT vec_id, list_transform(range(16), lambda i: sqrt(list_sum(list_transform(e[i * 4 + 1:i * 4 + 4], lambda v: v::DOUBLE * v::DOUBLE)) / 4 + 1e-12)) AS rms,
+  list_transform(range(16), lambda i: (100 * sqrt(e[i * 4 + 2]::DOUBLE ** 2 + e[i * 4 + 3]::DOUBLE ** 2) + 200 * abs(e[i * 4 + 3]::DOUBLE - e[i * 4 + 2]))
+    / nullif(abs(e[i * 4 + 2]::DOUBLE + e[i * 4 + 3]) + sqrt(e[i * 4 + 2]::DOUBLE ** 2 + e[i * 4 + 3]::DOUBLE ** 2) + abs(e[i * 4 + 3]::DOUBLE - e[i * 4 + 2]), 0)) AS hz FROM {n}0),
+{n}2 AS (SELECT *, list_aggregate(rms, 'quantile_cont', 0.95) AS top FROM {n}1),
+{n}3 AS (SELECT *, list_position(list_transform(rms, lambda x: x >= 0.9 * top), true) - 1 AS first, greatest(0.6 * top, 1e-4) AS thr FROM {n}2),
+{n}4 AS (SELECT vec_id, first, thr, rms, unnest(range(16)) AS i, unnest(rms) AS r, unnest(hz) AS z FROM {n}3),
+{n}5 AS (SELECT *, i - row_number() OVER (PARTITION BY vec_id ORDER BY i) AS g FROM {n}4 WHERE i < first AND r >= thr),
+{n}6 AS (SELECT vec_id, g, min(i) AS a, max(i) + 1 AS f, median(coalesce(z, 0)) AS centre, any_value(first) AS first, any_value(thr) AS thr, any_value(rms) AS rms FROM {n}5 GROUP BY vec_id, g),
+{n} AS (SELECT vec_id, max((f - a) * 10) AS ms FROM {n}6 WHERE a > 0 AND first - f >= {gap} AND centre < 110 AND len(list_filter(rms[f + 1:f + {gap}], lambda x: x >= thr)) = 0 GROUP BY vec_id)"""
+
+
+@_query(
+    f"WITH {_EDGE_SQL.format(n='l', samples='embedding', gap=0)}, {_EDGE_SQL.format(n='t', samples='list_reverse(embedding)', gap=3)} "
+    "SELECT vec_id, coalesce(l.ms, 0)::DOUBLE AS lead_ms, coalesce(t.ms, 0)::DOUBLE AS tail_ms FROM embeddings LEFT JOIN l USING (vec_id) LEFT JOIN t USING (vec_id)"
+)
 def edge_noise(spark, d):
     e = _t(spark, d, "embeddings")
-    return e.select("vec_id", S.edge_noise_of(4000)("embedding").alias("lead_ms"), S.edge_noise_of(4000, True, min_gap_ms=30)("embedding").alias("tail_ms"))
+    return e.select("vec_id", S.edge_noise_of(400, **_EDGE)("embedding").alias("lead_ms"), S.edge_noise_of(400, True, min_gap_ms=30, **_EDGE)("embedding").alias("tail_ms"))
 
 
 @_query()
@@ -401,16 +455,10 @@ def _sides(spark, d):
 @_query(f"WITH {_BOOK_SQL} SELECT item_id, pos::INT AS pos, doc_id, idx::INT AS idx FROM b1 JOIN a1 USING (g)")
 def ngram_anchors(spark, d):
     """Runs of 8 tokens that are unique among all items and among all documents."""
-
-    def grams(df, key, at):
-        t = df.select(key, F.posexplode(T.tokenize(F.col("text"))).alias(at, "tok"))
-        w = W.partitionBy(key).orderBy(at)
-        g = F.concat_ws(" ", *[F.lead("tok", k).over(w) for k in range(8)])
-        t = t.withColumn("tok", T.fold(F.col("tok"))).select(key, at, g.alias("g"), F.lead("tok", 7).over(w).alias("z")).where("z is not null")
-        return t.groupBy("g").agg(F.count("*").alias("n"), F.min(key).alias(key), F.min(at).alias(at)).where("n = 1").drop("n")
-
     book, doc = _sides(spark, d)
-    return grams(book, "item_id", "pos").join(grams(doc, "doc_id", "idx"), "g").select("item_id", "pos", "doc_id", "idx")
+    items = alignment.unique_grams(book.select("item_id", "tokens"), "item_id", "pos")
+    docs = alignment.unique_grams(doc.select("doc_id", T.tokenize(F.col("text")).alias("tokens")), "doc_id", "idx")
+    return items.join(docs, ["g1", "g2"]).select("item_id", "pos", "doc_id", "idx")
 
 
 def _read_aloud(spark, d):
@@ -431,15 +479,19 @@ def aligned_sentences(spark, d):
 
 @_query(f"WITH a AS (SELECT source, doc_id, unnest({_TOKENS('text')}) AS tok, unnest(range(len({_TOKENS('text')}))) AS i FROM documents) SELECT doc_id, i::INT AS i, tok, (row_number() OVER (PARTITION BY source ORDER BY doc_id, i) - 1)::INT AS pos FROM a")
 def token_positions(spark, d):
-    t = _t(spark, d, "documents").select("source", "doc_id", F.posexplode(T.tokenize(F.col("text"))).alias("i", "tok"))
-    return t.select("doc_id", "i", "tok", (F.row_number().over(W.partitionBy("source").orderBy("doc_id", "i")) - 1).alias("pos"))
+    docs = _t(spark, d, "documents").select(F.col("source").alias("book_id"), F.col("doc_id").alias("sent_id"), F.col("doc_id").alias("order"), T.tokenize(F.col("text")).alias("tokens"))
+    return alignment.book_tokens(docs, folded=False).select(F.col("sent_id").alias("doc_id"), F.col("tok_pos").alias("i"), "tok", "pos")
 
 
 @_query("WITH c AS (SELECT user_id, event_type, count(*) AS c, min(event_id) AS f FROM events GROUP BY ALL) SELECT user_id, arg_min(event_type, -c * 1000000000 + f) AS mode FROM c GROUP BY user_id")
 def mode_chapter(spark, d):
-    """The most frequent value of each key, the first met on a tie."""
-    c = _t(spark, d, "events").groupBy("user_id", "event_type").agg(F.count("*").alias("c"), F.min("event_id").alias("f"))
-    return c.groupBy("user_id").agg(F.min_by("event_type", F.struct(-F.col("c"), F.col("f"))).alias("mode"))
+    return alignment.mode(_t(spark, d, "events"), ["user_id"], "event_type", "event_id").withColumnRenamed("event_type", "mode")
+
+
+@_query("SELECT user_id AS book_id, count(*) AS chapters, sum(CASE WHEN event_type = 'error' THEN 0 ELSE event_id % 9 END)::BIGINT AS words FROM events GROUP BY user_id")
+def word_totals(spark, d):
+    n = F.when(F.col("event_type") != "error", F.slice(F.array(*[F.lit("w")] * 8), 1, (F.col("event_id") % 9).cast("int")))
+    return alignment.word_totals(_t(spark, d, "events").select(F.col("user_id").alias("book_id"), n.alias("words")))
 
 
 # ---- export and reports
@@ -461,7 +513,20 @@ def train_val_split(spark, d):
 
 @_query()
 def shuffled_split(spark, d):
-    return export.split_shuffled(_export_rows(spark, d), ["clip_id"]).select("clip_id", "split")
+    """Each source's documents by a seeded shuffle of its own, as a book's clips are split."""
+    return export.split_shuffled(_export_rows(spark, d), ["clip_id"], by=["speaker_id"]).select("clip_id", "split")
+
+
+@_query(
+    f"""WITH {_CLIPS_SQL}, p AS (SELECT l_orderkey || '_' || l_linenumber AS clip_id, duration FROM g WHERE status = 'pass'),
+k AS (SELECT *, row_number() OVER (ORDER BY md5(clip_id || ':42'), clip_id) AS n, greatest(1, floor(count(*) OVER () * 0.02)) AS v FROM p)
+SELECT clip_id, clip_id || '.wav|clip ' || clip_id AS line, CASE WHEN n <= v THEN 'val' ELSE 'train' END AS split FROM k"""
+)
+def export_rows(spark, d):
+    """What a dataset's metadata holds: passed clips alone, their lines, and their part."""
+    g = _graded(spark, d).withColumn("clip_id", F.concat_ws("_", "l_orderkey", "l_linenumber"))
+    rows = export.passed(g).select("clip_id", F.concat(F.lit("clip|"), "clip_id").alias("text"))
+    return export.split_ranked(export.metadata_lines(rows, "piper")).select("clip_id", "line", "split")
 
 
 @_query(f"WITH {_EXPORT_SQL} SELECT clip_id, clip_id || '.wav|' || text AS piper, clip_id || '|' || text || '|' || text AS ljspeech FROM r")
@@ -505,4 +570,4 @@ def report_pivot(spark, d):
 
 @_query("SELECT source AS book_id, count(*) AS chapters, sum(n_chars / 15) AS seconds FROM documents GROUP BY source")
 def ingest_totals(spark, d):
-    return _t(spark, d, "documents").groupBy(F.col("source").alias("book_id")).agg(F.count("*").alias("chapters"), F.sum(F.col("n_chars") / 15).alias("seconds"))
+    return evaluate.ingest_totals(_t(spark, d, "documents").select(F.col("source").alias("book_id"), (F.col("n_chars") / 15).alias("duration")))
