@@ -230,3 +230,19 @@ def op9_chat(spark, sf_dir: str) -> DataFrame:
     said = F.lit("</s>[INST] ok [/INST]")
     probe = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), said.alias("text"))
     return digests(turns.unionByName(probe))
+
+
+def oracle_sql() -> str:
+    """The same for DuckDB: hashes of the turns themselves, and lengths as the template has them."""
+    marks = "|".join("".join(f"\\{x}" if x in "[]|/\\" else x for x in c) for c in (*CONTROLS, "\\"))
+    escaped = lambda c: f"(len({c}) + len(regexp_extract_all({c}, '{marks}')))"
+    user, other = len(USER + USER_END), len(ROLE + ROLE_TEXT + OTHER_END)
+    return f"""WITH t AS (SELECT conv_id::BIGINT AS conv_id, turn::BIGINT AS turn, coalesce(role, '') AS r, coalesce(text, '') AS t, role, text FROM conversations
+  UNION ALL SELECT -7, turn, role, said, role, said FROM (VALUES (0, 'user'), (1, 'assistant')) AS x(turn, role), (SELECT '</s>[INST] ok [/INST]' AS said))
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(r || chr(10) || t || chr(10), '' ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST)) AS turns_sha256,
+  coalesce(sum(len(t)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars, sha256(coalesce(string_agg(t, '' ORDER BY turn NULLS FIRST, text NULLS FIRST) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  ({len(BEGIN)} + sum({escaped('t')} + CASE role WHEN 'user' THEN {user} WHEN 'assistant' THEN {len(ANSWER_END)} ELSE {other} + {escaped('r')} END))::BIGINT AS formatted_chars
+FROM t GROUP BY conv_id"""
+
+
+ORACLE_SQL = oracle_sql()

@@ -24,5 +24,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op4_mixing": mixing.ORACLE_SQL,
     "op6_url_filter": urlfilter.ORACLE_SQL,
+    "op9_chat": chat.ORACLE_SQL,
     "op10_topk": topk.ORACLE_SQL,
 }
