@@ -214,22 +214,29 @@ def _filtered(b: np.ndarray, a: np.ndarray, x: np.ndarray, block: int = 256) ->
     return out.ravel()[: len(x)]
 
 
-def loudness(x: np.ndarray, sr: int) -> float | None:
-    """Integrated loudness (LUFS) by ITU-R BS.1770: K-weighting, 400 ms blocks, both gates."""
-    x = np.asarray(x, np.float64)
-    size, hop = int(0.4 * sr), int(0.1 * sr)
-    if len(x) < size or not size:
-        return None
+def k_weighting(sr: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(b, a without its first 1) of the two filters of BS.1770 at a rate: a high shelf, a high pass."""
+    out = []
     for gain_db, q, f0, kind in ((3.999843853973347, 0.7071752369554196, 1681.974450955533, "shelf"), (0.0, 0.5003270373238773, 38.13547087602444, "high")):
         k = math.tan(math.pi * f0 / sr)
         a0 = 1 + k / q + k * k
         a = np.array([2 * (k * k - 1) / a0, (1 - k / q + k * k) / a0])
+        b = np.array([1.0, -2.0, 1.0])
         if kind == "shelf":
             vh = 10 ** (gain_db / 20)
             vb = vh**0.4996667741545416
             b = np.array([vh + vb * k / q + k * k, 2 * (k * k - vh), vh - vb * k / q + k * k]) / a0
-        else:
-            b = np.array([1.0, -2.0, 1.0])
+        out.append((b, a))
+    return out
+
+
+def loudness(x: np.ndarray, sr: int) -> float | None:
+    """Integrated loudness (LUFS) by ITU-R BS.1770: K-weighting, 400 ms blocks, both gates."""
+    x = np.asarray(x, np.float64)
+    size, hop = int(0.4 * sr), int(0.1 * sr)
+    if len(x) < size or not size:
+        return None
+    for b, a in k_weighting(sr):
         x = _filtered(b, a, x)
     energy = np.concatenate(([0.0], np.cumsum(x * x)))
     at = np.arange(0, len(x) - size + 1, hop)

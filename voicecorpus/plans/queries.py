@@ -432,9 +432,22 @@ def edge_noise(spark, d):
     return e.select("vec_id", S.edge_noise_of(400, **_EDGE)("embedding").alias("lead_ms"), S.edge_noise_of(400, True, min_gap_ms=30, **_EDGE)("embedding").alias("tail_ms"))
 
 
-@_query()
+def _sql_loudness(sr: int, column: str) -> str:
+    """Both filters sample by sample, then blocks of 0.4 s and both gates."""
+    (b, a), (c, g) = ([x.tolist() for x in f] for f in S.k_weighting(sr))
+    size, hop = int(0.4 * sr), int(0.1 * sr)
+    return f"""WITH RECURSIVE r AS (SELECT vec_id, {column} AS e, 0 AS i, 0::DOUBLE AS z1, 0::DOUBLE AS z2, 0::DOUBLE AS w1, 0::DOUBLE AS w2, 0::DOUBLE AS y FROM embeddings
+ UNION ALL SELECT vec_id, e, i + 1, {b[1]!r} * v - {a[0]!r} * u + z2, {b[2]!r} * v - {a[1]!r} * u, {c[1]!r} * u - {g[0]!r} * o + w2, {c[2]!r} * u - {g[1]!r} * o, o
+  FROM (SELECT *, {c[0]!r} * u + w1 AS o FROM (SELECT *, e[i + 1]::DOUBLE AS v, {b[0]!r} * e[i + 1]::DOUBLE + z1 AS u FROM r WHERE i < len(e)))),
+p AS (SELECT vec_id, k, sum(y * y) / {size} AS power FROM (SELECT vec_id, i - 1 AS i, y, len(e) AS n FROM r WHERE i > 0), range(64) AS t(k) WHERE i >= k * {hop} AND i < k * {hop} + {size} AND k * {hop} + {size} <= n GROUP BY vec_id, k),
+l AS (SELECT *, -0.691 + 10 * log10(greatest(power, 1e-12)) AS level FROM p),
+h AS (SELECT *, -0.691 + 10 * log10(avg(power) FILTER (level > -70) OVER (PARTITION BY vec_id)) - 10 AS gate FROM l)
+SELECT vec_id, round(-0.691 + 10 * log10(avg(power) FILTER (level > -70 AND level > gate)), 6) AS lufs FROM embeddings LEFT JOIN h USING (vec_id) GROUP BY vec_id"""
+
+
+@_query(_sql_loudness(100, "embedding"))
 def integrated_loudness(spark, d):
-    return _t(spark, d, "embeddings").select("vec_id", S.loudness_of(100)("embedding").alias("lufs"))
+    return _t(spark, d, "embeddings").select("vec_id", F.round(S.loudness_of(100)("embedding"), 6).alias("lufs"))
 
 
 # ---- alignment
