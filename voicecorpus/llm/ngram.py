@@ -30,6 +30,7 @@ from __future__ import annotations
 import json
 import mmap
 import os
+import sys
 import uuid
 from collections import OrderedDict
 from collections.abc import Callable, Iterator
@@ -46,7 +47,8 @@ from .shared import cut, fold_of, remove, shared_dir
 from .textops import slices, words, xxh64
 
 FOLDS, ADD, SHARD_KEYS, CHUNK_BITS, SLICE, HELD_KEYS = 10, 0.1, 2_000_000, 20, 6 << 20, 2_000_000
-OPEN_FILES, OPEN_BYTES = 4096, 256 << 20  # of a worker: maps of files, and bytes where they can't be mapped
+#: Of a worker: maps of files (which hold a descriptor each before Python 3.13), and bytes where files can't be mapped.
+OPEN_FILES, OPEN_BYTES = 16_384 if sys.version_info >= (3, 13) else 512, 256 << 20
 _END = np.uint64(0x9E3779B97F4A7C15)  # the end's place among the words' hashes
 
 
