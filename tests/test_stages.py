@@ -150,6 +150,10 @@ def test_from_books_to_datasets(spark, tmp_path, backend):
         providers.RECOGNISERS["stub"] = Stub
     got = pipeline.run(spark, cfg)
     assert got == {"ingest": 1, "text_prep": 2, "transcribe": 1, "align": 2, "segment": 2, "quality": 2, "export": 1}
+    for stage, key in (("text_prep", "sent_id"), ("align", "start"), ("quality", "clip_id")):  # a file each, in order
+        (f,) = (tmp_path / "work" / config.STAGE_FOLDERS[stage] / "book_id=kniha").glob("part*")
+        found = [json.loads(x)[key] for x in f.read_text().splitlines()]
+        assert len(found) == 2 and found == sorted(found)
     heard = records.read_jsonl(spark, cfg.stage_path("transcribe"), schemas.TRANSCRIPT).first()
     assert heard.asr_text == "první věta druhá věta" and len(heard.words) == 4
     if backend == "stub":

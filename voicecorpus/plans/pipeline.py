@@ -128,6 +128,10 @@ def dataset(spark: SparkSession, cfg: Config, books: list[str]) -> DataFrame:
 STAGES: dict[str, Stage] = {"ingest": ingest, "text_prep": prepare_text, "transcribe": transcribe, "align": align, "segment": segment, "quality": check, "export": dataset}
 
 
+#: In which order a book's records stand in its file.
+ORDER = {"ingest": ["order"], "text_prep": ["order"], "transcribe": ["order"], "align": ["chapter_id", "start", "seg_id"], "segment": ["chapter_id", "clip_id"], "quality": ["chapter_id", "clip_id"], "export": []}
+
+
 def _after(spark: SparkSession, cfg: Config, stage: str, books: list[str]) -> None:
     """What a stage leaves beside its records: quality what was heard, and the report of flagged clips."""
     if stage != "quality":
@@ -167,7 +171,7 @@ def run(spark: SparkSession, cfg: Config, stage: str | None = None, from_stage:
         made = stages[n](spark, cfg, todo)
         for b in todo:
             records.remove(spark, f"{path}/book_id={b}")
-        out[n] = records.write_by_book(made, path)
+        out[n] = records.write_by_book(made, path, ORDER.get(n))
         _after(spark, cfg, n, todo)
         for b in todo:
             records.touch(spark, mark(b))
