@@ -145,18 +145,33 @@ class Features:
         return out
 
 
+_BLOCK = 1024  # rows worked on at once, so that learning holds the examples once, as floats of 4 bytes
+
+
+def _mapped(f: Features, units: list[str], table: np.ndarray, root: np.ndarray) -> np.ndarray:
+    """(unit, landmark): the Nyström map of units."""
+    out = np.empty((len(units), root.shape[1]), np.float32)
+    for lo in range(0, len(units), _BLOCK):
+        out[lo : lo + _BLOCK] = f.project(units[lo : lo + _BLOCK], table) @ root
+    return out
+
+
 def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, cost: float = 10.0, steps: int = 30) -> np.ndarray:
     """Linear SVM with squared hinge loss by Newton's method; the last coefficient is the bias."""
-    x = np.concatenate((x, np.ones((len(x), 1))), 1)
-    w = np.zeros(x.shape[1])
+    w = np.zeros(x.shape[1] + 1)
     ridge = np.eye(len(w))
     ridge[-1, -1] = 1e-3
     for _ in range(steps):
-        m = y * (x @ w)
-        on = m < 1
-        c = cost * weight[on]
-        grad = ridge @ w - x[on].T @ (c * y[on] * (1 - m[on]))
-        step = np.linalg.solve(ridge + (x[on] * c[:, None]).T @ x[on], grad)
+        grad, curve = ridge @ w, ridge.copy()
+        for lo in range(0, len(x), _BLOCK):
+            part, sign = x[lo : lo + _BLOCK].astype(np.float64), y[lo : lo + _BLOCK]
+            part = np.concatenate((part, np.ones((len(part), 1))), 1)
+            m = sign * (part @ w)
+            on = m < 1
+            c, part = cost * weight[lo : lo + _BLOCK][on], part[on]
+            grad -= part.T @ (c * sign[on] * (1 - m[on]))
+            curve += (part * c[:, None]).T @ part
+        step = np.linalg.solve(curve, grad)
         w = w - step
         if np.abs(step).max() < 1e-6:
             break
@@ -278,14 +293,14 @@ def learn(texts: list[str | None], toxic: list[int], landmarks: int = LANDMARKS,
         pos = sorted(witnesses)
         neg = sorted(set(seen) - set(pos))
         like = [(v, u) for u in pos for v in _inserted(u, rng) if v not in df0]
-        x = np.concatenate((f.project(pos, table), f.project(neg, table), f.project([v for v, _ in like], table))) @ root
+        x = _mapped(f, [*pos, *neg, *[v for v, _ in like]], table, root)
         target = np.concatenate((np.ones(len(pos)), -np.ones(len(neg)), np.ones(len(like))))
         share = lambda us: np.array([witnesses[u] for u in us], float) / sum(witnesses.values())
         weight = np.concatenate((share(pos), np.full(len(neg), 2 / max(1, len(neg))), share([u for _, u in like]) / INSERTED)) * 500
         # a unit of both kinds counts on both sides, by how often
         both = [u for u in pos if df0[u]]
         if both:
-            x = np.concatenate((x, f.project(both, table) @ root))
+            x = np.concatenate((x, _mapped(f, both, table, root)))
             target = np.concatenate((target, -np.ones(len(both))))
             weight = np.concatenate((weight, np.array([df0[u] / n0 for u in both]) * 500))
         w = _svm(x, target, weight)
