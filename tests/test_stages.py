@@ -19,9 +19,9 @@ def bursts(sr=SR):
     """Five seconds, with tones from 0.5 to 2.0 and from 3.0 to 4.5."""
     t = np.arange(5 * sr) / sr
     x = np.zeros(len(t))
-    for a, b, hz in ((0.5, 2.0, 220.0), (3.0, 4.5, 330.0)):
+    for hz, a, b in ((220.0, 0.5, 2.0), (330.0, 3.0, 4.5)):
         on = (t >= a) & (t < b)
-        x[on] = 0.3 * np.sin(2 * np.pi * hz * t[on])
+        x[on] = np.sin(t[on] * hz * 2 * np.pi) * 0.3
     return x
 
 

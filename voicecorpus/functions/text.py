@@ -22,14 +22,36 @@ NO_STOP = {
     3: "cca csc doc hod ing kap mgr mil min mld nám obr odst popř roč sec str tab tis tzn tzv viz zák čís apod atd např resp kupř písm stol".split(),
     4: "drsc judr mudr phdr prof rndr rsdr thdr paeddr".split(),
 }
+_DOTTED = """
+aj = a jiné
+apod = a podobně
+atd = a tak dále
+hod = hodin
+kap = kapitola
+kupř = kupříkladu
+mil = milionů
+min = minut
+mj = mimo jiné
+mld = miliard
+např = například
+obr = obrázek
+odst = odstavec
+popř = popřípadě
+resp = respektive
+roč = ročník
+str = strana
+tab = tabulka
+tis = tisíc
+tj = to jest
+tzn = to znamená
+tzv = takzvaný
+č = číslo
+čís = číslo
+"""
 #: Spoken forms of shortened words that end in a stop.
-DOTTED = {
-    "aj": "a jiné", "apod": "a podobně", "atd": "a tak dále", "č": "číslo", "čís": "číslo", "hod": "hodin", "kap": "kapitola", "kupř": "kupříkladu",
-    "mil": "milionů", "min": "minut", "mj": "mimo jiné", "mld": "miliard", "např": "například", "obr": "obrázek", "odst": "odstavec", "popř": "popřípadě",
-    "resp": "respektive", "roč": "ročník", "str": "strana", "tab": "tabulka", "tis": "tisíc", "tj": "to jest", "tzn": "to znamená", "tzv": "takzvaný",
-}
+DOTTED = dict(line.split(" = ") for line in _DOTTED.strip().splitlines())
 #: Of those that have none.
-UNDOTTED = {"cca": "cirka", "viz": "viz"}
+UNDOTTED = {"viz": "viz", "cca": "cirka"}
 
 
 def strip(c: Column) -> Column:

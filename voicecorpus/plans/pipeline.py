@@ -17,6 +17,7 @@ from ..config import Config, load
 from ..operators import alignment, evaluate, export, quality, review, segments, text_prep
 from ..sources import audio, records
 
+DETECTORS = ["energy", "silero"]
 Stage = Callable[[SparkSession, Config, list[str]], DataFrame]
 
 
@@ -70,8 +71,8 @@ def segment(spark: SparkSession, cfg: Config, books: list[str]) -> DataFrame:
     regions of the recogniser's copy, found by the energy detector in the neural one's place;
     energy snaps to pauses in the levels of the master copy's frames."""
     vad = cfg.require("segment.vad")
-    if vad not in ("silero", "energy"):
-        raise ValueError(f"unknown segment.vad: {vad}")
+    if vad not in DETECTORS:
+        raise ValueError(f"segment.vad is none of {DETECTORS}: {vad}")
     s = _of(spark, cfg, "align", schemas.SEGMENT, books).withColumn("rank", F.xxhash64("seg_id"))
     chapters = _of(spark, cfg, "ingest", schemas.CHAPTER, books).select("book_id", "chapter_id", "speaker_id", "asr_wav", "master_wav", F.col("duration").alias("chapter_duration"))
     spoken = chapters.join(s.select("book_id", "chapter_id").distinct(), ["book_id", "chapter_id"], "left_semi")

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from ..functions import signal as S
 from ..functions.signal import frame_levels, resample, speech_regions
 
-FORMATS = {"s16": "pcm_s16le", "s24": "pcm_s24le", "f32": "pcm_f32le"}
 _KINDS = {(1, 8): "pcm_u8", (1, 16): "pcm_s16le", (1, 24): "pcm_s24le", (1, 32): "pcm_s32le", (3, 32): "pcm_f32le", (3, 64): "pcm_f64le"}
 
 
@@ -229,8 +228,9 @@ def clip_metrics(clips: DataFrame, edge: dict | None = None) -> DataFrame:
         levels_ = round(float(np.abs(x).max(initial=0.0)), 4), round(len(soft) / len(rms), 3), round(float(snr), 2)
         if edge is None:
             return *levels_, None, None
-        common = {k: v for k, v in edge.items() if k not in ("lead_gap_ms", "tail_gap_ms")}
-        return *levels_, S.edge_noise(x, sr, min_gap_ms=edge["lead_gap_ms"], **common), S.edge_noise(x[::-1], sr, min_gap_ms=edge["tail_gap_ms"], **common)
+        rules = {k: v for k, v in edge.items() if not k.endswith("gap_ms")}
+        ends = ((x, edge["lead_gap_ms"]), (x[::-1], edge["tail_gap_ms"]))
+        return *levels_, *(S.edge_noise(y, sr, min_gap_ms=gap, **rules) for y, gap in ends)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
