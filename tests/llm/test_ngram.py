@@ -110,6 +110,22 @@ def test_files_are_few_and_hold_no_descriptor(tmp_path):
     assert len(os.listdir(tmp_path)) == 60
 
 
+def test_files_of_a_folder_that_is_not_mounted(tmp_path, monkeypatch):
+    from pyarrow import fs
+
+    monkeypatch.setattr(G, "_fs", lambda folder: (fs.LocalFileSystem(), folder))
+    monkeypatch.setattr(G, "OPEN_BYTES", 20_000)
+    files, rng = G._Files(), np.random.default_rng(1)
+    for i in range(9):
+        a = rng.random(1000)
+        for _ in range(2):  # a task that runs twice
+            G._save(f"{tmp_path}/t", f"x{i}", {"a": a, "none": np.zeros(0, np.uint8)})
+        got = files(f"{tmp_path}/t", f"x{i}")[0]
+        assert (got["a"] == a).all() and not len(got["none"])
+    assert len(files.held) == 2 and files.bytes <= 20_000 and files.opens == 9
+    assert len(list((tmp_path / "t").iterdir())) == 9
+
+
 def test_repeated_texts_score_above_single_ones(spark):
     rng = np.random.default_rng(11)
     text = lambda: " ".join(f"v{int(x)}" for x in rng.integers(0, 400, 60))
