@@ -74,6 +74,19 @@ def test_split_by_ranks_is_the_ordered_one(spark):
     assert export.split_ranked(d.limit(0)).collect() == []
 
 
+def test_split_by_ranks_counts_rows_of_one_clip_id(spark):
+    from hashlib import md5
+
+    ids = [f"c{i}" for i in range(60)]
+    rows = [i for i in ids for _ in range(3)] + [None] * 4
+    d = spark.createDataFrame([(i,) for i in rows], "clip_id string")
+    for fraction in (0.02, 0.05, 0.5, 0.99, 1.0):
+        n = max(1, int(len(rows) * fraction))
+        want = sorted(rows, key=lambda i: (i is None, md5(f"{i}:42".encode()).hexdigest()))
+        got = [(r.clip_id, r.split) for r in export.split_ranked(d, fraction).collect()]
+        assert sorted(got, key=str) == sorted([(i, "val" if k < n else "train") for k, i in enumerate(want)], key=str)
+
+
 def test_shuffled_split_by_group(spark):
     rows = [(b, f"c{i:03d}") for b, n in (("x", 150), ("y", 3), (None, 60)) for i in range(n)]
     d = spark.createDataFrame(rows, "book string, clip_id string")

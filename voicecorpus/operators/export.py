@@ -54,19 +54,33 @@ BUCKETS = 1 << 16
 def split_ranked(rows: DataFrame, fraction: float = 0.02, seed: int = 42) -> DataFrame:
     """``rows`` (clip_id, ...) with split: the smallest of md5(clip_id, seed) are val, as many as
     the shuffled split has.  Hashes fall in 65,536 buckets; those are counted, whole buckets go
-    to either side, and only the one in which the number is reached is ordered."""
-    rank = F.md5(F.concat_ws(":", F.col("clip_id").cast("string"), F.lit(seed)).cast("binary"))
-    bucket = F.conv(F.substring(rank, 1, 4), 16, 10).cast("int")
-    counts = sorted((r.b, r.n) for r in rows.groupBy(bucket.alias("b")).agg(F.count("*").alias("n")).collect())  # BUCKETS rows at most
+    to either side, and only the one in which the number is reached is ordered, by its distinct
+    clip_ids.  A clip_id may stand in several rows: each counts, and of those of the last one only
+    as many are val as are left.  Rows without clip_id come last."""
+    rank = F.md5(F.concat(F.col("clip_id").cast("string"), F.lit(f":{seed}")).cast("binary"))
+    bucket = F.coalesce(F.conv(F.substring(rank, 1, 4), 16, 10).cast("int"), F.lit(BUCKETS))
+    counts = sorted((r.b, r.n) for r in rows.groupBy(bucket.alias("b")).agg(F.count("*").alias("n")).collect())  # BUCKETS + 1 rows at most
     left = max(1, int(sum(n for _, n in counts) * fraction))
     at = -1
     for at, n in counts:  # noqa: B007
         if n >= left:
             break
         left -= n
-    inside = rows.where(bucket == at).select("clip_id").orderBy(rank, "clip_id").limit(left)
-    d = rows.join(inside.withColumn("__v", F.lit(True)), "clip_id", "left")
-    return d.withColumn("split", F.when((bucket < at) | F.col("__v"), "val").otherwise("train")).drop("__v")
+    inside = rows.where(bucket == at).groupBy(rank.alias("r"), F.col("clip_id").alias("c")).agg(F.count("*").alias("n"))
+    last = inside.withColumn("up_to", F.sum("n").over(W.orderBy("r", "c"))).where(F.col("up_to") >= left).orderBy("up_to").limit(1).collect()
+    if not last:
+        return rows.withColumn("split", F.lit("val"))
+    (r, c, n, up_to), key = last[0], F.col("clip_id")
+    val = lambda d: F.when(d, "val").otherwise("train")
+    if r is None:
+        before, same = key.isNotNull(), key.isNull()
+    else:
+        before = (bucket < at) | ((bucket == at) & ((rank < r) | ((rank == r) & (key < c))))
+        same = F.coalesce(key == c, F.lit(False))
+    if up_to == left:
+        return rows.withColumn("split", val(before | same))
+    tied = rows.where(same).withColumn("split", val(F.row_number().over(W.partitionBy("clip_id").orderBy("clip_id")) <= left - (up_to - n)))
+    return rows.where(~same).withColumn("split", val(before)).unionByName(tied)
 
 
 NOTES = """# Training on this dataset
