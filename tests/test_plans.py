@@ -1,6 +1,7 @@
 """Plans that were rewritten for scale, against the plain way."""
 
 import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -87,6 +88,27 @@ def test_split_by_ranks_counts_rows_of_one_clip_id(spark):
         assert sorted(got, key=str) == sorted([(i, "val" if k < n else "train") for k, i in enumerate(want)], key=str)
 
 
+def test_statistics_are_the_same_in_any_order(spark):
+    rng = random.Random(1)
+    n = [rng.randrange(1, 100_000) for _ in range(3000)]
+    n[0] += (27 - sum(n)) % 54  # hours end in half a thousandth
+    low, total = 0, sum(n) // 54
+    for _ in range(6):
+        rng.shuffle(n)
+        d = spark.createDataFrame([(x / 15, "s", "t") for x in n], "duration double, speaker_id string, text string").coalesce(1)
+        r = export.statistics(d).first()
+        added = 0.0
+        for x in n:
+            added += x / 15
+        low += Decimal(repr(added / 3600)) < Decimal(2 * total + 1) / 2000
+        assert (r.total_hours, r.duration_mean) == ((total + 1) / 1000, round(sum(n) / 15 / len(n), 2))
+    assert low  # added in turn, some order falls below
+    odd = spark.createDataFrame([(float("inf"), "s", "t"), (1.0, "s", "t"), (None, "s", "t")], "duration double, speaker_id string, text string")
+    assert export.statistics(odd).first().total_hours == float("inf")
+    assert export.statistics(odd.where("duration = 1")).first()[1:5] == (0.0, 1.0, 1.0, 1.0)
+    assert export.statistics(odd.where("duration is null")).first()[1:5] == (0.0, 0.0, 0.0, 0.0)
+
+
 def test_shuffled_split_by_group(spark):
     rows = [(b, f"c{i:03d}") for b, n in (("x", 150), ("y", 3), (None, 60)) for i in range(n)]
     d = spark.createDataFrame(rows, "book string, clip_id string")

@@ -9,7 +9,7 @@ from functools import reduce
 from operator import and_
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -152,15 +152,25 @@ def characters(rows: DataFrame, text: str = "text") -> DataFrame:
     return c.agg(F.array_join(F.array_sort(F.collect_list("c")), "").alias("char_inventory"), F.count("*").alias("char_count"))
 
 
+def _total(c: str) -> Column:
+    """The sum of a column of doubles, added as decimals, so that it is the same whatever the order of the
+    rows; where one is beyond them (or no number), added as doubles."""
+    exact = F.col(c).try_cast("decimal(28,15)")
+    return F.when(F.count(exact) == F.count(c), F.sum(exact).cast("double")).otherwise(F.sum(c))
+
+
 def statistics(rows: DataFrame) -> DataFrame:
     """One row over (duration, speaker_id, text)."""
     zero = lambda c, d: F.coalesce(F.round(c, d), F.lit(0.0))
+    # a share is taken of the total's own digits, so that halves are rounded up
+    share = lambda by, d: zero(F.coalesce(F.round(F.col("total").try_cast("decimal(28,15)") / by, d).cast("double"), F.col("total") / by), d)
     main = rows.agg(
         F.count("*").alias("clips"),
-        zero(F.sum("duration") / 3600, 3).alias("total_hours"),
+        F.count("duration").alias("known"),
+        _total("duration").alias("total"),
         zero(F.min("duration"), 2).alias("duration_min"),
         zero(F.max("duration"), 2).alias("duration_max"),
-        zero(F.avg("duration"), 2).alias("duration_mean"),
         F.array_sort(F.collect_set("speaker_id")).alias("speakers"),
     )
+    main = main.select("clips", share(F.lit(3600), 3).alias("total_hours"), "duration_min", "duration_max", share(F.nullif("known", F.lit(0)), 2).alias("duration_mean"), "speakers")
     return main.crossJoin(characters(rows))  # one row by one
