@@ -4,6 +4,7 @@ import re
 import pytest
 
 from voicecorpus.functions import text as T
+from voicecorpus.plans import queries as Q
 
 
 def col(spark, f, values):
@@ -90,3 +91,18 @@ def test_small_functions(spark):
 @pytest.mark.parametrize("f", [T.clean_text, T.normalize, T.fold_text, T.xml_escape])
 def test_null_stays_null(spark, f):
     assert col(spark, f, [None]) == [None]
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize(("name", "part"), [("sentence_stats", "flatten(")])
+def test_texts_are_split_and_numbers_spelled_once(spark, name, part):
+    assert plan(Q.QUERIES[name](spark, "/root/testdata/sf0.001")).count(part) == 1
+
+
+def test_strip_takes_all_white_space(spark):
+    white = [chr(i) for i in range(1, 0x3100) if re.match(r"\s", chr(i)) and not 0x1C <= i <= 0x1F]
+    assert set(white) == set(T.WHITE)
+    assert col(spark, T.strip, [w + "a" + w for w in white] + ["\x1ca", "\u200ba"]) == ["a"] * len(white) + ["\x1ca", "\u200ba"]

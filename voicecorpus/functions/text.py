@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
@@ -54,44 +55,75 @@ DOTTED = dict(line.split(" = ") for line in _DOTTED.strip().splitlines())
 UNDOTTED = {"viz": "viz", "cca": "cirka"}
 
 
+#: Unicode's White_Space, what (?U)\s stands for.
+WHITE = "\t\n\x0b\f\r \x85\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
+def _bound(c: Column, f: Callable[[Column], Column]) -> Column:
+    """``f`` of ``c``, evaluated once however often ``f`` names it."""
+    return F.transform(F.array(c), f)[0]
+
+
 def strip(c: Column) -> Column:
     """Without white space of any kind at the ends."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.trim(c, F.lit(WHITE))
+
+
+def _single_blanks(c: Column) -> Column:
+    """Runs of blanks and tabs as one blank; blanks that stand alone are not matched."""
+    return F.regexp_replace(c, "[ \t]{2,}|\t", " ")
 
 
 def clean_text(c: Column) -> Column:
     """No-break spaces, runs of blanks, ellipses and dashes in one plain form."""
-    c = F.regexp_replace(F.translate(c, "\u00a0", " "), "[ \t]+", " ")
-    return strip(F.translate(F.replace(c, F.lit("…"), F.lit("...")), "–—", "--"))
+    c = _single_blanks(F.replace(c, F.lit("\u00a0"), F.lit(" ")))
+    for a, b in (("…", "..."), ("–", "-"), ("—", "-")):
+        c = F.replace(c, F.lit(a), F.lit(b))
+    return strip(c)
 
 
 def paragraphs(c: Column) -> Column:
     """Blocks between blank lines, each on one line, empty ones left out."""
-    one = lambda b: F.regexp_replace(strip(F.regexp_replace(b, r"(?U)\s*\n\s*", " ")), "[ \t]+", " ")
-    return F.filter(F.transform(F.split(c, r"(?U)\n\s*\n"), one), lambda p: p != "")
+    lines = F.array_join(F.transform(F.split(c, "\n"), strip), "\n")
+    one = lambda b: _single_blanks(F.replace(strip(b), F.lit("\n"), F.lit(" ")))
+    return F.filter(F.transform(F.split(lines, "\n\n+"), one), lambda p: p != "")
 
 
-def _marked(p: Column) -> Column:
-    """A paragraph with U+0001 after the stops that end sentences.
+_SHORT_BACKWARDS = "|".join(sorted((w[::-1] for ws in NO_STOP.values() for w in ws), key=lambda w: (-len(w), w)))
 
-    Every run of stops before white space and a likely start is marked; the marks after
-    shortened words and initials, and after numbers that no capital follows, go again.  A
-    run with ! ? or … is out of reach of these, as they look for full stops alone."""
-    p = F.regexp_replace(p, rf"([.!?…]+)(?=(?U:\s+){OPENERS})(?![.!?…])", "$1\u0001")
-    short = "|".join(sorted((w for ws in NO_STOP.values() for w in ws), key=lambda w: (-len(w), w)))
-    before = rf"(?iu)(?<![{TOKEN_LETTERS}])"
-    p = F.regexp_replace(p, rf"{before}({short}|[{CAPITALS}a-zá-ž])(\.+)\u0001", "$1$2")
-    return F.regexp_replace(p, rf"(?iu)(?<![{TOKEN_LETTERS}])([0-9]+)(\.+)\u0001(?!(?U:\s+)(?-i:[{CAPITALS}]))", "$1$2")
+
+def _settled(pieces: Column) -> Column:
+    """A paragraph of its pieces, which end at stops that may end sentences, with U+0001 after those
+    that do: not after shortened words and initials, nor after numbers that no capital follows.
+
+    What stands before a piece's last full stops is read backwards from its end, so that nothing
+    is searched; a run with ! ? or … is out of reach of this, as only full stops are passed."""
+    word, number = rf"(?iu)^\.+(?:{_SHORT_BACKWARDS}|[{CAPITALS}a-zá-ž])(?![{TOKEN_LETTERS}])", rf"(?iu)^\.+[0-9]+(?![{TOKEN_LETTERS}])"
+
+    def end(p: Column, i: Column) -> Column:
+        after = F.get(pieces, i + 1)
+        on = lambda r: r.rlike(word) | (r.rlike(number) & ~after.rlike(rf"^(?U:\s+)[{CAPITALS}]"))
+        goes_on = p.endswith(".") & _bound(F.reverse(p), on)
+        return F.when(after.isNull() | goes_on, p).otherwise(F.concat(p, F.lit("\u0001")))
+
+    return F.array_join(F.transform(pieces, end), "")
 
 
 def sentences(c: Column) -> Column:
     """Array of a text's sentences, in order."""
-    parts = F.flatten(F.transform(paragraphs(c), lambda p: F.split(_marked(p), "\u0001")))
+    stops = rf"([.!?…]+)(?=(?U:\s+){OPENERS})(?![.!?…])"
+    pieces = F.transform(paragraphs(c), lambda p: F.split(F.regexp_replace(p, stops, "$1\u0001"), "\u0001"))
+    parts = F.flatten(F.transform(pieces, lambda x: F.split(_settled(x), "\u0001")))
     return F.filter(F.transform(parts, strip), lambda s: s != "")
 
 
+def words(c: Column) -> Column:
+    """Array of a text's tokens as they stand."""
+    return F.regexp_extract_all(c, F.lit(TOKEN), 0)
+
+
 def tokenize(c: Column) -> Column:
-    return F.transform(F.regexp_extract_all(c, F.lit(f"({TOKEN})"), 1), F.lower)
+    return F.transform(words(c), F.lower)
 
 
 @lru_cache(1)
@@ -179,10 +211,12 @@ def expand_abbreviations(c: Column) -> Column:
     A text is split at all of them at once and joined with their forms.  Only where one
     follows another's stop without a blank does the order in which they are replaced show
     (a form ends in a letter, so what stood at a word's begin may not any more); such texts
-    are worked on word by word."""
+    are worked on word by word.  Texts in which none can stand, read backwards from their
+    stops, stay as they are."""
     dotted, bare = "|".join(_by_length(DOTTED)), "|".join(_by_length(UNDOTTED))
     some = rf"(?U)\b(?iu:{dotted})\.|\b(?iu:{bare})\b"
     close = rf"(?U)\b(?iu:{dotted})\.(?iu:{dotted}|{bare})(?:\.|\b)"
+    backwards = "|".join(w[::-1] for w in _by_length(DOTTED))
     forms = F.create_map(*[F.lit(x) for kv in {**DOTTED, **UNDOTTED}.items() for x in kv])
 
     def spoken_form(w: Column) -> Column:
@@ -191,9 +225,12 @@ def expand_abbreviations(c: Column) -> Column:
         first = F.substring(w, 1, 1)
         return F.when(first == F.lower(first), form).otherwise(F.concat(F.upper(F.substring(form, 1, 1)), F.substring(form, 2, 100)))
 
-    found = F.transform(F.regexp_extract_all(c, F.lit(f"({some})"), 1), spoken_form)
-    parts = F.zip_with(F.split(c, some, -1), F.concat(found, F.array(F.lit(""))), lambda a, b: F.concat(a, b))
-    return F.when(c.rlike(close), _in_turn(c)).otherwise(F.array_join(parts, ""))
+    def expanded(c: Column) -> Column:
+        found = F.transform(F.regexp_extract_all(c, F.lit(f"({some})"), 1), spoken_form)
+        parts = F.zip_with(F.split(c, some, -1), F.concat(found, F.array(F.lit(""))), lambda a, b: F.concat(a, b))
+        return F.when(F.reverse(c).rlike(rf"(?iu)\.(?:{backwards})") | c.rlike(rf"(?iu){bare}"), F.when(c.rlike(close), _in_turn(c)).otherwise(F.array_join(parts, ""))).otherwise(c)
+
+    return _bound(c, expanded)
 
 
 ONES = "jedna dva tři čtyři pět šest sedm osm devět deset jedenáct dvanáct třináct čtrnáct patnáct šestnáct sedmnáct osmnáct devatenáct".split()
@@ -267,7 +304,7 @@ def expand_numbers(s: pd.Series) -> pd.Series:
 def normalize(c: Column, numbers: bool = True) -> Column:
     """Cleaned, with spoken forms of shortened words and numbers, single-spaced."""
     c = expand_abbreviations(clean_text(c))
-    return strip(F.regexp_replace(expand_numbers(c) if numbers else c, r"(?U)\s+", " "))
+    return strip(F.regexp_replace(expand_numbers(c) if numbers else c, r"(?U)\s{2,}|[\s&&[^ ]]", " "))
 
 
 def sentence_id(book: Column, order: Column) -> Column:

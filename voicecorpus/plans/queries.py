@@ -75,11 +75,11 @@ def sentences(spark, d):
 
 @_query(f"WITH {_SENT_ROWS} SELECT lang, count(DISTINCT doc_id) AS docs, count(*) AS sentences, sum(len({_TOKENS('sentence')}))::BIGINT AS tokens FROM s GROUP BY lang")
 def sentence_stats(spark, d):
-    """Counted within each document's row, so that one row for each is aggregated."""
-    s = _t(spark, d, "documents").select("doc_id", "lang", T.sentences(F.col("text")).alias("s")).where(F.size("s") > 0)
-    tokens = F.aggregate("s", F.lit(0).cast("long"), lambda a, x: a + F.size(T.tokenize(x)))
-    s = s.select("doc_id", "lang", F.size("s").cast("long").alias("n"), tokens.alias("tokens"))
-    return s.groupBy("lang").agg(F.countDistinct("doc_id").alias("docs"), F.sum("n").alias("sentences"), F.sum("tokens").alias("tokens"))
+    """Counted within each document's row, so that one row for each is aggregated.  Tokens hold no
+    white space, so those of the sentences are those of the text."""
+    s = _t(spark, d, "documents").select("doc_id", "lang", F.size(T.sentences(F.col("text"))).cast("long").alias("n"), F.regexp_count("text", F.lit(T.TOKEN)).cast("long").alias("tokens"))
+    s = s.groupBy("lang").agg(F.countDistinct(F.when(F.col("n") > 0, F.col("doc_id"))).alias("docs"), F.sum("n").alias("sentences"), F.sum(F.when(F.col("n") > 0, F.col("tokens"))).alias("tokens"))
+    return s.where("sentences > 0")
 
 
 _IDS = f"""r AS (SELECT printf('%s_s%05d', doc_id::VARCHAR, "order") AS sent_id, {_CLEAN('sentence')} AS text, {_TOKENS('sentence')} AS tokens FROM s)"""
