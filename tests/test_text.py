@@ -97,7 +97,7 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize(("name", "part"), [("sentence_stats", "flatten(")])
+@pytest.mark.parametrize(("name", "part"), [("sentence_stats", "flatten("), ("sentence_records", "regexp_extract_all(")])
 def test_texts_are_split_and_numbers_spelled_once(spark, name, part):
     assert plan(Q.QUERIES[name](spark, "/root/testdata/sf0.001")).count(part) == 1
 

@@ -87,8 +87,8 @@ _IDS = f"""r AS (SELECT printf('%s_s%05d', doc_id::VARCHAR, "order") AS sent_id,
 
 @_query(f"WITH {_SENT_ROWS}, {_IDS} SELECT sent_id, text, array_to_string(tokens, ' ') AS tokens FROM r WHERE len(tokens) > 0")
 def sentence_records(spark, d):
-    s = _sentences(spark, d).select(T.sentence_id(F.col("doc_id").cast("string"), F.col("order")).alias("sent_id"), T.clean_text(F.col("sentence")).alias("text"), T.tokenize(F.col("sentence")).alias("t"))
-    return s.where(F.size("t") > 0).select("sent_id", "text", F.array_join("t", " ").alias("tokens"))
+    s = _sentences(spark, d).where(F.col("sentence").rlike(T.TOKEN))
+    return s.select(T.sentence_id(F.col("doc_id").cast("string"), F.col("order")).alias("sent_id"), T.clean_text(F.col("sentence")).alias("text"), F.lower(F.array_join(T.words(F.col("sentence")), " ")).alias("tokens"))
 
 
 @_query(f"WITH t AS (SELECT unnest({_TOKENS('text')}) AS token FROM documents) SELECT token, count(*) AS n FROM t GROUP BY token")
