@@ -4,6 +4,7 @@ import re
 import pytest
 
 from voicecorpus.functions import text as T
+from voicecorpus.operators import text_prep
 from voicecorpus.plans import queries as Q
 
 
@@ -97,7 +98,7 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize(("name", "part"), [("sentence_stats", "flatten("), ("sentence_records", "regexp_extract_all(")])
+@pytest.mark.parametrize(("name", "part"), [("sentence_stats", "flatten("), ("sentence_records", "regexp_extract_all("), ("normalized_sentences", "ArrowEvalPython")])
 def test_texts_are_split_and_numbers_spelled_once(spark, name, part):
     assert plan(Q.QUERIES[name](spark, "/root/testdata/sf0.001")).count(part) == 1
 
@@ -106,3 +107,13 @@ def test_strip_takes_all_white_space(spark):
     white = [chr(i) for i in range(1, 0x3100) if re.match(r"\s", chr(i)) and not 0x1C <= i <= 0x1F]
     assert set(white) == set(T.WHITE)
     assert col(spark, T.strip, [w + "a" + w for w in white] + ["\x1ca", "\u200ba"]) == ["a"] * len(white) + ["\x1ca", "\u200ba"]
+
+
+def test_fragments_without_a_token_are_those_of_the_normal_form(spark):
+    rng = random.Random(6)
+    bits = ["č.", "Viz", "cca", "5", "1 234", "?!", "…", " ", " ", "\n", "\n\n", "ſ", "İ", "-", ". A", "! „", "\u0001"]
+    texts = [(str(k), "".join(rng.choice(bits) for _ in range(rng.randint(0, 8)))) for k in range(300)]
+    books = spark.createDataFrame(texts, "book_id string, text string")
+    got = {r.sent_id: (r.text, r.normalized, r.tokens) for r in text_prep.sentence_records(books).collect()}
+    d = text_prep.split_books(books).select("book_id", "order", T.clean_text(T.F.col("sentence")).alias("t"), T.normalize(T.F.col("sentence")).alias("n")).withColumn("k", T.tokenize(T.F.col("n")))
+    assert got == {f"{r.book_id}_s{r.order:05d}": (r.t, r.n, r.k) for r in d.collect() if r.k}
