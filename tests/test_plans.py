@@ -48,6 +48,22 @@ def test_unique_grams(spark):
     assert sorted((r.k, r.at) for r in d) == [(1, 0), (2, 1)]  # "b ... i" stands twice
 
 
+def test_unique_grams_among_others_are_left_out_before_the_shuffle(spark, monkeypatch):
+    rng = random.Random(8)
+    rows = [(k, words(rng, rng.randrange(40), 5)) for k in range(60)]
+    texts = spark.createDataFrame(rows, "k long, tokens array<string>")
+    items = alignment.unique_grams(spark.createDataFrame([(i, ws[3:14]) for i, ws in rows[:30]], "i long, tokens array<string>"), "i", "pos", 4)
+    whole = alignment.unique_grams(texts, "k", "at", 4)
+    want = sorted((r.g1, r.g2, r.k, r.at) for r in whole.join(items, ["g1", "g2"]).collect())
+    some = alignment.unique_grams(texts, "k", "at", 4, among=items)
+    assert want and sorted((r.g1, r.g2, r.k, r.at) for r in some.collect()) == want
+    plan = some._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate [g1") < plan.index("LeftSemi") < plan.index("posexplode")
+    monkeypatch.setattr(alignment, "SENT", 1)
+    more = alignment.unique_grams(texts, "k", "at", 4, among=items)
+    assert sorted((r.g1, r.g2, r.k, r.at) for r in more.join(items.select("g1", "g2"), ["g1", "g2"]).collect()) == want
+
+
 def test_token_positions_of_repeated_and_empty_sentences(spark):
     s = [("b", "s2", 1, ["c"]), ("b", "s1", 0, ["a", "Á"]), ("b", "s3", 2, []), (None, "s1", 0, ["z"])]
     d = alignment.book_tokens(spark.createDataFrame(s, "book_id string, sent_id string, order int, tokens array<string>")).collect()

@@ -59,14 +59,25 @@ def match(book: DataFrame, asr: DataFrame) -> DataFrame:
     return book.select("book_id", "pos", "tok").groupBy("book_id").cogroup(asr.select("book_id", "idx", "tok").groupBy("book_id")).applyInPandas(pairs, "book_id string, pos int, idx int")
 
 
-def unique_grams(texts: DataFrame, key: str, at: str, n: int = 8) -> DataFrame:
+#: So many runs, of 16 bytes each, are sent to every task at most.
+SENT = 200_000
+
+
+def unique_grams(texts: DataFrame, key: str, at: str, n: int = 8, among: DataFrame | None = None) -> DataFrame:
     """(g1, g2, key, at) of the runs of ``n`` tokens of ``texts`` (key, tokens) that occur once in all: made
-    within a text's row, and shuffled as two hashes of 64 bits each."""
+    within a text's row, and shuffled as two hashes of 64 bits each.
+
+    Where only runs that are in ``among`` (g1, g2, ...) are wanted and those are ``SENT`` at most, the
+    others are left out where they are made and never shuffled; of those in it all are counted.
+    Where they are more, all runs are shuffled, and some that are returned may not be in it."""
     folded = F.split(T.fold(F.array_join("tokens", " ")), " ")
-    gram = lambda i: F.array_join(F.slice(F.col("f"), i, n), " ")
-    runs = F.transform(F.sequence(F.lit(1), F.size("f") - (n - 1)), lambda i: F.struct(F.xxhash64(gram(i)).alias("g1"), F.xxhash64(gram(i), F.lit(n)).alias("g2")))
-    d = texts.where(F.size("tokens") >= n).select(key, folded.alias("f")).select(key, F.posexplode(runs).alias(at, "g"))
-    d = d.groupBy("g.g1", "g.g2").agg(F.count("*").alias("n"), F.min(key).alias(key), F.min(at).alias(at))
+    grams = F.transform(F.sequence(F.lit(1), F.size("f") - (n - 1)), lambda i: F.array_join(F.slice(F.col("f"), i, n), " "))
+    runs = F.transform(grams, lambda g: F.struct(F.xxhash64(g).alias("g1"), F.xxhash64(g, F.lit(n)).alias("g2")))
+    runs = F.when((F.size("f") >= n) & (F.get("f", F.lit(0)) != ""), runs)  # no filter, which would make the tokens again
+    d = texts.select(key, folded.alias("f")).select(key, F.posexplode(runs).alias(at, "g")).select(key, at, "g.g1", "g.g2")
+    if among is not None and among.limit(SENT + 1).count() <= SENT:
+        d = d.join(F.broadcast(among.select("g1", "g2")), ["g1", "g2"], "left_semi")
+    d = d.groupBy("g1", "g2").agg(F.count("*").alias("n"), F.min(key).alias(key), F.min(at).alias(at))
     return d.where("n = 1").drop("n")
 
 

@@ -467,10 +467,11 @@ def _sides(spark, d):
 
 @_query(f"WITH {_BOOK_SQL} SELECT item_id, pos::INT AS pos, doc_id, idx::INT AS idx FROM b1 JOIN a1 USING (g)")
 def ngram_anchors(spark, d):
-    """Runs of 8 tokens that are unique among all items and among all documents."""
+    """Runs of 8 tokens that are unique among all items and among all documents.  The items are the
+    smaller side: of the documents' runs, only those that are also theirs are shuffled."""
     book, doc = _sides(spark, d)
     items = alignment.unique_grams(book.select("item_id", "tokens"), "item_id", "pos")
-    docs = alignment.unique_grams(doc.select("doc_id", T.tokenize(F.col("text")).alias("tokens")), "doc_id", "idx")
+    docs = alignment.unique_grams(doc.select("doc_id", T.tokenize(F.col("text")).alias("tokens")), "doc_id", "idx", among=items)
     return items.join(docs, ["g1", "g2"]).select("item_id", "pos", "doc_id", "idx")
 
 
